@@ -2,10 +2,18 @@
 
 Frames count rows, not days, and are partial during warm-up: an average over 200 rows exists on
 row 1. All of them share one partitioning and ordering, so Spark needs a single exchange and sort.
+
+Spark evaluates a sliding frame anew for every row, so a 252-row maximum costs 252 steps per row.
+The longest frames are therefore put together from shorter ones: the maximum over 252 rows is the
+largest of the 63-row maxima found 0, 63, 126 and 189 rows back. Rows before a symbol's first yield
+no short frame, which is exactly the partial frame of the warm-up.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, Window, WindowSpec, functions as F
 
 from .guarded import growth, ratio
@@ -30,6 +38,21 @@ def return_over(rows: int) -> Column:
     return growth(F.col("close"), before("close", rows))
 
 
+def frames(column: str, rows: int, times: int) -> list[Column]:
+    """A short-frame result of this row and of the rows 1, 2, ... frames back."""
+    return [F.col(column)] + [before(column, rows * n) for n in range(1, times)]
+
+
+def total(column: str, rows: int, times: int) -> Column:
+    """Sum over ``rows * times`` rows from sums over ``rows`` rows."""
+    return reduce(add, [F.coalesce(part, F.lit(0)) for part in frames(column, rows, times)])
+
+
+def highest(column: str, rows: int, times: int) -> Column:
+    """Maximum over ``rows * times`` rows from maxima over ``rows`` rows."""
+    return F.greatest(*frames(column, rows, times))
+
+
 def moving_average(column: str, rows: int) -> Column:
     return F.avg(column).over(trailing(rows))
 

@@ -1,6 +1,6 @@
-"""Global RANK without sorting the whole table in one task.
+"""Global RANK without sorting a large table in one task.
 
-Equal values are first collapsed to one row with a count, which also removes any hot value. The
+A table counted to be small is ranked with a plain window. Beyond that, equal values are first collapsed to one row with a count, which also removes any hot value. The
 distinct values are cut into slices at approximate quantiles. A value's rank is then one plus the
 rows in better slices plus the better rows of its own slice. Cut points only balance the work;
 the rank is exact wherever they fall.
@@ -8,15 +8,40 @@ the rank is exact wherever they fall.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Sequence
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICES = 64
+ONE_TASK = 100_000   # rows that a single task may sort
+
+
+class Ranking(NamedTuple):
+    """RANK() over all rows by ``value``, NULL values last, as column ``name``."""
+
+    value: str
+    name: str
+    descending: bool = False
+
+
+def with_ranks(df: DataFrame, rankings: Sequence[Ranking], one_task: int = ONE_TASK) -> DataFrame:
+    """Add every ranking. ``df`` should be a stored table: its rows are counted first."""
+    if df.limit(one_task + 1).count() <= one_task:
+        return df.withColumns({r.name: _plain(r) for r in rankings})
+    for ranking in rankings:
+        df = sliced_rank(df, ranking)
+    return df
+
+
+def _plain(ranking: Ranking) -> Column:
+    order = F.desc_nulls_last if ranking.descending else F.asc_nulls_last
+    return F.rank().over(Window.orderBy(order(ranking.value))).cast("bigint")
 
 
-def with_rank(
-    df: DataFrame, value: str, rank: str, descending: bool = False, slices: int = SLICES
-) -> DataFrame:
-    """Add ``rank`` = RANK() over all rows by ``value``, NULL values last."""
+def sliced_rank(df: DataFrame, ranking: Ranking, slices: int = SLICES) -> DataFrame:
+    """Add one ranking with no task seeing more than a slice of the distinct values."""
+    value, rank, descending = ranking
     counts = df.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
     points = [n / slices for n in range(1, slices)]
     cuts = counts.agg(F.percentile_approx("_value", points, 10000)).scalar()

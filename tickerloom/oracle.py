@@ -212,6 +212,8 @@ ORACLE: dict[str, str] = {
               rank() OVER (ORDER BY return_1m DESC NULLS LAST) AS rank_return_1m,
               rank() OVER (ORDER BY summary.vol_ann_1m ASC NULLS LAST) AS rank_lowest_vol
        FROM summary""",
+    "daily_leaderboard": f"""WITH {_GOLD} SELECT symbol, date, return_21d,
+       rank() OVER (ORDER BY return_21d DESC NULLS LAST) AS rank_return_1m FROM gold""",
     "daily_recent": f"WITH {_RECENT} SELECT {_rounded('vol_ann_21d')} FROM recent",
     "sector_comparison": f"WITH {_COMPARISON} SELECT {_rounded('vol_ann_21d')} FROM comparison",
     "return_correlation": f"WITH {_PAIRS} SELECT {_rounded('correlation')} FROM pairs",

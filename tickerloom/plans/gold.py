@@ -14,34 +14,45 @@ from ..functions.guarded import growth, ratio
 
 
 def daily_features(silver: DataFrame) -> DataFrame:
-    """Silver's columns followed by the technical and macro features."""
+    """Silver's columns followed by the technical and macro features.
+
+    Two windows over the same sorted rows. The second adds what needs returns or moves, and the
+    200- and 252-row frames, which it puts together from the first one's 50- and 63-row frames.
+    """
     col = F.col
-    gain, loss = ta.gain_and_loss(col("move"))
-    base = silver.select(
+    first = silver.select(
         "*",
         (col("close") - ta.before("close", 1)).alias("move"),
         *[ta.return_over(n).alias(f"return_{n}d") for n in (1, 5, 21, 63)],
-        *[ta.moving_average("close", n).alias(f"sma_{n}") for n in (20, 50, 200)],
+        ta.moving_average("close", 20).alias("sma_20"),
+        F.sum("close").over(ta.trailing(50)).alias("close_50"),
+        F.count("close").over(ta.trailing(50)).alias("closes_50"),
         ta.moving_average("volume", 20).alias("usual_volume"),
-        F.max("high").over(ta.trailing(252)).alias("peak"),
+        F.max("high").over(ta.trailing(63)).alias("high_63"),
         growth(col("cpi"), ta.before("cpi", 21)).alias("cpi_chg_1m"),
         (col("fedFundsRate") - ta.before("fedFundsRate", 1)).alias("fed_funds_chg"),
         (col("treasury10y") - ta.before("treasury10y", 1)).alias("treasury10y_chg"),
     )
-    derived = base.select(
-        "*",
+    gain, loss = ta.gain_and_loss(col("move"))
+    second = first.select(
+        *silver.columns, *schemas.RETURNS, "sma_20",
+        ratio(col("close_50"), col("closes_50")).alias("sma_50"),
+        ratio(ta.total("close_50", 50, 4), ta.total("closes_50", 50, 4)).alias("sma_200"),
         *[ta.volatility("return_1d", n).alias(f"vol_{n}d") for n in (21, 63)],
+        ratio(col("volume"), col("usual_volume")).alias("volume_rel_20d"),
         F.avg(gain).over(ta.trailing(14)).alias("avg_gain"),
         F.avg(loss).over(ta.trailing(14)).alias("avg_loss"),
+        ta.highest("high_63", 63, 4).alias("peak"),
+        *schemas.MACRO_CHANGES,
     )
-    return derived.select(
+    return second.select(
         *silver.columns,
         *schemas.RETURNS,
         "sma_20", "sma_50", "sma_200",
         *[growth(col("close"), col(f"sma_{n}")).alias(f"dist_sma_{n}") for n in (20, 50, 200)],
         "vol_21d", "vol_63d",
         ta.annualised(col("vol_21d")).alias("vol_ann_21d"),
-        ratio(col("volume").cast("double"), col("usual_volume")).alias("volume_rel_20d"),
+        "volume_rel_20d",
         ta.relative_strength(col("avg_gain"), col("avg_loss")).alias("rsi_14"),
         ta.drawdown(col("close"), col("peak")).alias("drawdown_252d"),
         *schemas.MACRO_CHANGES,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import labels
 from ..operators.benchmark import benchmark_by_date
-from ..operators.rank import with_rank
+from ..operators.rank import Ranking, with_ranks
 from ..settings import Classification, Roles
 
 _CONTEXT = ["rsi_14", "dist_sma_50", "dist_sma_200", "drawdown_252d"]
@@ -64,8 +64,10 @@ def sector_comparison(
 
 def leaderboard(summary: DataFrame, classes: Classification = Classification()) -> DataFrame:
     """The snapshot with its place by one-month return and by lowest volatility, NULLs last."""
-    ranked = with_rank(summary, "return_1m", "rank_return_1m", descending=True)
-    ranked = with_rank(ranked, "vol_ann_1m", "rank_lowest_vol")
+    ranked = with_ranks(summary, [
+        Ranking("return_1m", "rank_return_1m", descending=True),
+        Ranking("vol_ann_1m", "rank_lowest_vol"),
+    ])
     return ranked.select(
         "symbol",
         labels.asset_type(F.col("symbol"), classes).alias("asset_type"),

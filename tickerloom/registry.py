@@ -1,8 +1,8 @@
 """Every table, view, query and check by name, bound to the test tables.
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame. Queries up to the features compute
-from the raw tables. Those above read the gold table, as they would in production; it is built once
-per application and data directory.
+from the raw tables. Those above read the stored silver, gold and snapshot tables, as they would in
+production; each is built once per application and data directory.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import bindings, schemas
 from .operators import asof
+from .operators.rank import Ranking, sliced_rank
 from .plans import analytics, charts, gold, quality, views
 from .plans.silver import price_with_macro
 from .session import scratch_path, stage
@@ -22,7 +23,7 @@ from .sources import bronze, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROLES = bindings.ROLES
-_gold: dict[tuple[str, str], DataFrame] = {}
+_stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def silver(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
@@ -35,12 +36,27 @@ def features(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFram
     return gold.daily_features(silver(spark, sf_dir, grain))
 
 
+def _store(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = stage(build(spark, sf_dir), name)
+    return _stored[key]
+
+
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir, "silver", silver)
+
+
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored daily features."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _gold:
-        _gold[key] = stage(features(spark, sf_dir), "gold")
-    return _gold[key]
+    return _store(
+        spark, sf_dir, "gold", lambda *at: gold.daily_features(silver_table(*at))
+    )
+
+
+def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(
+        spark, sf_dir, "summary", lambda *at: gold.symbol_summary(gold_table(*at))
+    )
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -70,17 +86,25 @@ def macro_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof.join_asof(days, bindings.observations(spark, sf_dir), SERIES)
 
 
+def daily_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day of every symbol ranked by return, with the rank cut into slices."""
+    rows = gold_table(spark, sf_dir).select("symbol", "date", "return_21d")
+    ranking = Ranking("return_21d", "rank_return_1m", descending=True)
+    return sliced_rank(rows, ranking)
+
+
 def upsert_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History up to a month ago, then a batch that corrects one month and adds another."""
-    rows = stage(silver(spark, sf_dir), "silver")
+    rows = silver_table(spark, sf_dir)
     newest = _newest(rows)
     batch = rows.filter(F.col("date") > F.add_months(newest, -2)).withColumn(
         "volume", F.col("volume") + 1
     )
     path = scratch_path(spark, "upsert-daily")
     layout = tables.Layout(buckets=8, yearly=True)
-    tables.upsert(rows.filter(F.col("date") <= F.add_months(newest, -1)), path, layout)
-    tables.upsert(batch, path, layout)
+    history = rows.filter(F.col("date") <= F.add_months(newest, -1))
+    tables.upsert(history, path, layout, staged=True)
+    tables.upsert(batch, path, layout, staged=True)
     return tables.scan(spark, path, rows.schema, layout)
 
 
@@ -149,9 +173,10 @@ QUERIES: dict[str, Query] = {
         features(spark, sf_dir, "part"), *schemas.VOLATILITY
     ),
     "symbol_summary": _on_gold(gold.symbol_summary, "vol_ann_1m"),
-    "leaderboard": _on_gold(
-        lambda g: views.leaderboard(gold.symbol_summary(g), ROLES.classes), "vol_ann_1m"
+    "leaderboard": lambda spark, sf_dir: rounded(
+        views.leaderboard(summary_table(spark, sf_dir), ROLES.classes), "vol_ann_1m"
     ),
+    "daily_leaderboard": daily_leaderboard,
     "daily_recent": _recent(
         lambda g, newest: views.daily_recent(g, newest, ROLES.classes), "vol_ann_21d"
     ),

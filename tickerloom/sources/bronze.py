@@ -9,7 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import (
+    Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F, types as T,
+)
+from pyspark.sql.streaming import DataStreamReader
 
 from .. import schemas
 from ..functions.guarded import day, number, whole_number
@@ -24,10 +27,10 @@ class Documents(NamedTuple):
     rejected: DataFrame
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, lines: bool) -> DataFrame:
+def _json(reader: DataFrameReader | DataStreamReader, path: str, schema: T.StructType, lines: bool):
     """One document per file (pretty-printed or not), or one per line with ``lines``."""
     return (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("multiLine", not lines)
         .option("recursiveFileLookup", True)
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
@@ -43,14 +46,19 @@ def entity_from_path(pattern: str = ENTITY_PATTERN) -> Column:
     return F.regexp_extract("file_path", pattern, 1)
 
 
-def price_documents(spark: SparkSession, path: str, lines: bool = False) -> Documents:
-    """Landed price documents, split into usable and rejected ones with the reason."""
+def raw_price_documents(
+    reader: DataFrameReader | DataStreamReader, path: str, lines: bool = False
+) -> DataFrame:
+    """Every landed price document with the reason to reject it, NULL for a usable one."""
     reason = (
         F.when(F.col("status") == "error", "error answer")
         .when(F.col(schemas.CORRUPT).isNotNull(), "unreadable")
         .when(F.col("meta.symbol").isNull() | F.col("values").isNull(), "no data")
     )
-    documents = _read(spark, path, schemas.PRICE_DOCUMENT, lines).withColumn("reason", reason)
+    return _json(reader, path, schemas.PRICE_DOCUMENT, lines).withColumn("reason", reason)
+
+
+def split(documents: DataFrame) -> Documents:
     good = documents.filter(F.col("reason").isNull()).select(
         F.col("meta.symbol").alias("symbol"), "values", "file_path", "landed_at"
     )
@@ -60,6 +68,11 @@ def price_documents(spark: SparkSession, path: str, lines: bool = False) -> Docu
     return Documents(good, rejected)
 
 
+def price_documents(spark: SparkSession, path: str, lines: bool = False) -> Documents:
+    """Landed price documents, split into usable and rejected ones."""
+    return split(raw_price_documents(spark.read, path, lines))
+
+
 def latest(documents: DataFrame, entity: Column, landed: Column | None = None) -> DataFrame:
     """The newest landing of each entity. Older ones drop out in the scan tasks, before the shuffle."""
     order = F.col("landed_at") if landed is None else landed
@@ -86,7 +99,7 @@ def prices(documents: DataFrame, symbols: Sequence[str] | None = None) -> DataFr
 
 
 def macro_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    return _read(spark, path, schemas.MACRO_DOCUMENT, lines)
+    return _json(spark.read, path, schemas.MACRO_DOCUMENT, lines)
 
 
 def observations(
