@@ -1,0 +1,55 @@
+"""Every registered query against its SQL in an independent engine, on whole tables."""
+
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from conftest import TESTDATA
+
+TABLES = ["lineitem", "orders", "part", "supplier", "nation"]
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "date": "DATE", "boolean": "BOOLEAN",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TESTDATA}/{table}.parquet'")
+    return con
+
+
+def _key(row):
+    return tuple((value is None, value if value is not None else 0) for value in row)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_matches_sql(spark, duck, name):
+    df = entry.queries()[name](spark, TESTDATA)
+    expected = duck.sql(entry.oracle_sql()[name])
+    columns = sorted(df.columns)
+    assert columns == sorted(expected.columns)
+    types = dict(zip(expected.columns, map(str, expected.types)))
+    assert {c: TYPES[t] for c, t in df.dtypes} == types
+
+    order = [expected.columns.index(c) for c in columns]
+    theirs = sorted((tuple(r[i] for i in order) for r in expected.fetchall()), key=_key)
+    ours = sorted((tuple(r) for r in df.select(*[f"`{c}`" for c in columns]).collect()), key=_key)
+    assert len(ours) == len(theirs) > 0
+    wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
+    assert not wrong, (columns, wrong[0], len(wrong))
+    assert not any(isinstance(v, float) and not math.isfinite(v) for row in ours for v in row)
+
+
+def test_entry_runs(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["symbol", "beta", "correlation_to_spy", "naive_alpha"]
+    assert df.count() > 0

@@ -25,41 +25,41 @@ def history() -> WindowSpec:
     return Window.partitionBy("symbol").orderBy("date")
 
 
-def trailing(rows: int) -> WindowSpec:
+def trailing(w: WindowSpec, rows: int) -> WindowSpec:
     """The current row and the ``rows - 1`` before it."""
-    return history().rowsBetween(1 - rows, Window.currentRow)
+    return w.rowsBetween(1 - rows, Window.currentRow)
 
 
-def before(column: str, rows: int) -> Column:
-    return F.lag(column, rows).over(history())
+def before(w: WindowSpec, column: str, rows: int) -> Column:
+    return F.lag(column, rows).over(w)
 
 
-def return_over(rows: int) -> Column:
-    return growth(F.col("close"), before("close", rows))
+def return_over(w: WindowSpec, rows: int) -> Column:
+    return growth(F.col("close"), before(w, "close", rows))
 
 
-def frames(column: str, rows: int, times: int) -> list[Column]:
-    """A short-frame result of this row and of the rows 1, 2, ... frames back."""
-    return [F.col(column)] + [before(column, rows * n) for n in range(1, times)]
+def moving_average(w: WindowSpec, column: str, rows: int) -> Column:
+    return F.avg(column).over(trailing(w, rows))
 
 
-def total(column: str, rows: int, times: int) -> Column:
-    """Sum over ``rows * times`` rows from sums over ``rows`` rows."""
-    return reduce(add, [F.coalesce(part, F.lit(0)) for part in frames(column, rows, times)])
+def volatility(w: WindowSpec, returns: str, rows: int) -> Column:
+    """Sample deviation; NULL while fewer than two returns are known."""
+    return F.stddev_samp(returns).over(trailing(w, rows))
 
 
-def highest(column: str, rows: int, times: int) -> Column:
-    """Maximum over ``rows * times`` rows from maxima over ``rows`` rows."""
-    return F.greatest(*frames(column, rows, times))
+def frames(w: WindowSpec, column: str, rows: int, times: int) -> list[Column]:
+    """A short-frame result of this row and of the rows 1, 2, ... frames back."""
+    return [F.col(column)] + [before(w, column, rows * n) for n in range(1, times)]
 
 
-def moving_average(column: str, rows: int) -> Column:
-    return F.avg(column).over(trailing(rows))
+def total(w: WindowSpec, column: str, rows: int, times: int) -> Column:
+    """Sum over ``rows * times`` rows from sums over ``rows`` rows."""
+    return reduce(add, [F.coalesce(part, F.lit(0)) for part in frames(w, column, rows, times)])
 
 
-def volatility(returns: str, rows: int) -> Column:
-    """Sample deviation; NULL while fewer than two returns are known."""
-    return F.stddev_samp(returns).over(trailing(rows))
+def highest(w: WindowSpec, column: str, rows: int, times: int) -> Column:
+    """Maximum over ``rows * times`` rows from maxima over ``rows`` rows."""
+    return F.greatest(*frames(w, column, rows, times))
 
 
 def annualised(daily: Column) -> Column:

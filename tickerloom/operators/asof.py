@@ -14,28 +14,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+def _selected(observations: DataFrame, series: dict[str, str]) -> DataFrame:
+    return observations.filter(
+        F.col("series_id").isin(*series) & F.col("date").isNotNull() & F.col("value").isNotNull()
+    )
+
+
 def known_observations(observations: DataFrame, series: dict[str, str]) -> DataFrame:
     """One value per (series, day): the selected series, missing values left out, ties to the max."""
-    return (
-        observations
-        .filter(
-            F.col("series_id").isin(*series)
-            & F.col("date").isNotNull()
-            & F.col("value").isNotNull()
-        )
-        .groupBy("series_id", "date")
-        .agg(F.max("value").alias("value"))
-    )
+    selected = _selected(observations, series)
+    return selected.groupBy("series_id", "date").agg(F.max("value").alias("value"))
 
 
 def widen(long: DataFrame, series: dict[str, str]) -> DataFrame:
-    """Long (series, date, value) to one row per date with a column per series."""
-    wide = long.groupBy("date").pivot("series_id", list(series)).agg(F.first("value"))
-    return wide.select("date", *[F.col(f"`{s}`").alias(name) for s, name in series.items()])
+    """Long (series, date, value) to one row per date with a column per series, ties to the max.
+
+    The pivot of a fixed list, written out: one exchange instead of the two of ``pivot``.
+    """
+    return long.groupBy("date").agg(*[
+        F.max(F.when(F.col("series_id") == s, F.col("value"))).alias(name)
+        for s, name in series.items()
+    ])
 
 
 def macro_wide(observations: DataFrame, series: dict[str, str]) -> DataFrame:
-    return widen(known_observations(observations, series), series)
+    return widen(_selected(observations, series), series)
 
 
 def macro_calendar(observations: DataFrame, series: dict[str, str]) -> DataFrame:
@@ -53,11 +56,9 @@ def macro_calendar(observations: DataFrame, series: dict[str, str]) -> DataFrame
 
 def join_asof(prices: DataFrame, observations: DataFrame, series: dict[str, str]) -> DataFrame:
     """Add the last value of each series observed on or before the row's date, NULL before that."""
-    calendar = macro_calendar(observations, series).withColumnRenamed("date", "_known_day")
+    calendar = macro_calendar(observations, series)
     end = known_observations(observations, series).agg(F.max("date")).scalar()
-    return (
-        prices
-        .withColumn("_day", F.least("date", end))
-        .join(F.broadcast(calendar), F.col("_day") == F.col("_known_day"), "left")
-        .drop("_day", "_known_day")
-    )
+    day = F.when(F.col("date") > end, end).otherwise(F.col("date"))
+    placed = prices.select("*", day.alias("_day"))
+    joined = placed.join(F.broadcast(calendar), placed["_day"] == calendar["date"], "left")
+    return joined.select(*[placed[c] for c in prices.columns], *series.values())

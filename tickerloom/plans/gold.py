@@ -19,30 +19,30 @@ def daily_features(silver: DataFrame) -> DataFrame:
     Two windows over the same sorted rows. The second adds what needs returns or moves, and the
     200- and 252-row frames, which it puts together from the first one's 50- and 63-row frames.
     """
-    col = F.col
+    col, w = F.col, ta.history()
     first = silver.select(
         "*",
-        (col("close") - ta.before("close", 1)).alias("move"),
-        *[ta.return_over(n).alias(f"return_{n}d") for n in (1, 5, 21, 63)],
-        ta.moving_average("close", 20).alias("sma_20"),
-        F.sum("close").over(ta.trailing(50)).alias("close_50"),
-        F.count("close").over(ta.trailing(50)).alias("closes_50"),
-        ta.moving_average("volume", 20).alias("usual_volume"),
-        F.max("high").over(ta.trailing(63)).alias("high_63"),
-        growth(col("cpi"), ta.before("cpi", 21)).alias("cpi_chg_1m"),
-        (col("fedFundsRate") - ta.before("fedFundsRate", 1)).alias("fed_funds_chg"),
-        (col("treasury10y") - ta.before("treasury10y", 1)).alias("treasury10y_chg"),
+        (col("close") - ta.before(w, "close", 1)).alias("move"),
+        *[ta.return_over(w, n).alias(f"return_{n}d") for n in (1, 5, 21, 63)],
+        ta.moving_average(w, "close", 20).alias("sma_20"),
+        F.sum("close").over(ta.trailing(w, 50)).alias("close_50"),
+        F.count("close").over(ta.trailing(w, 50)).alias("closes_50"),
+        ta.moving_average(w, "volume", 20).alias("usual_volume"),
+        F.max("high").over(ta.trailing(w, 63)).alias("high_63"),
+        growth(col("cpi"), ta.before(w, "cpi", 21)).alias("cpi_chg_1m"),
+        (col("fedFundsRate") - ta.before(w, "fedFundsRate", 1)).alias("fed_funds_chg"),
+        (col("treasury10y") - ta.before(w, "treasury10y", 1)).alias("treasury10y_chg"),
     )
     gain, loss = ta.gain_and_loss(col("move"))
     second = first.select(
         *silver.columns, *schemas.RETURNS, "sma_20",
         ratio(col("close_50"), col("closes_50")).alias("sma_50"),
-        ratio(ta.total("close_50", 50, 4), ta.total("closes_50", 50, 4)).alias("sma_200"),
-        *[ta.volatility("return_1d", n).alias(f"vol_{n}d") for n in (21, 63)],
+        ratio(ta.total(w, "close_50", 50, 4), ta.total(w, "closes_50", 50, 4)).alias("sma_200"),
+        *[ta.volatility(w, "return_1d", n).alias(f"vol_{n}d") for n in (21, 63)],
         ratio(col("volume"), col("usual_volume")).alias("volume_rel_20d"),
-        F.avg(gain).over(ta.trailing(14)).alias("avg_gain"),
-        F.avg(loss).over(ta.trailing(14)).alias("avg_loss"),
-        ta.highest("high_63", 63, 4).alias("peak"),
+        F.avg(gain).over(ta.trailing(w, 14)).alias("avg_gain"),
+        F.avg(loss).over(ta.trailing(w, 14)).alias("avg_loss"),
+        ta.highest(w, "high_63", 63, 4).alias("peak"),
         *schemas.MACRO_CHANGES,
     )
     return second.select(

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call sites on every column expression cost several driver round trips each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _own_folder: dict[str, str] = {}
