@@ -81,27 +81,35 @@ def bars(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
 def observation_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Macro stand-ins ``(series_id, date, value)``, NULL on days without one.
 
-    Orders are reduced to days once; both the monthly and the daily series start from those.
+    Each order offers a point to every series; one aggregate, reduced in the scan tasks first,
+    turns them into values. The orders are read once.
     """
-    low = (F.col("o_orderpriority") == "5-LOW") & (F.col("date") >= F.lit("1995-04-01").cast("date"))
+    date, price = F.col("o_orderdate").cast("date"), F.col("o_totalprice")
+    month = F.trunc(date, "month")
+    low = (F.col("o_orderpriority") == "5-LOW") & (date >= F.lit("1995-04-01").cast("date"))
     urgent = F.col("o_orderpriority") == "1-URGENT"
-    days = (
+    offered = [
+        ("CPIAUCSL", month, price),
+        ("FEDFUNDS", month, F.when(low, 1.0)),
+        ("DGS10", date, F.when(urgent, price)),
+    ]
+    points = F.array(*[
+        F.struct(F.lit(s).alias("series_id"), d.alias("date"), v.alias("value"))
+        for s, d, v in offered
+    ])
+    value, series = F.col("value"), F.col("series_id")
+    counted = F.when(F.count(value) > 0, F.count(value).cast("double"))
+    return (
         _table(spark, sf_dir, "orders")
-        .select(F.col("o_orderdate").cast("date").alias("date"), "o_totalprice", "o_orderpriority")
-        .groupBy("date")
+        .select(F.inline(points))
+        .groupBy("series_id", "date")
         .agg(
-            F.max("o_totalprice").alias("top"),
-            F.count_if(low).alias("low"),
-            F.min(F.when(urgent, F.col("o_totalprice"))).alias("urgent"),
+            F.when(series == "CPIAUCSL", F.max(value))
+            .when(series == "FEDFUNDS", counted)
+            .otherwise(F.min(value))
+            .alias("value")
         )
     )
-    months = days.groupBy(F.trunc("date", "month").alias("date")).agg(
-        F.max("top").alias("CPIAUCSL"),
-        F.when(F.sum("low") > 0, F.sum("low").cast("double")).alias("FEDFUNDS"),
-    )
-    monthly = months.unpivot("date", ["CPIAUCSL", "FEDFUNDS"], "series_id", "value")
-    daily = days.select("date", F.lit("DGS10").alias("series_id"), F.col("urgent").alias("value"))
-    return monthly.unionByName(daily).select("series_id", "date", "value")
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:

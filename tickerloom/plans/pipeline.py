@@ -29,9 +29,10 @@ def run_silver(
     """Read, reject, type, join macro, check and upsert silver. Returns the report's lines."""
     documents, rejected = bronze.price_documents(spark, prices_path, lines)
     typed = bronze.prices(documents, universe.symbols)
-    observed = bronze.observations(
+    # The as-of join reads the observations twice; they are few and parsed once.
+    observed = stage(bronze.observations(
         bronze.macro_documents(spark, macro_path), list(universe.series)
-    )
+    ), "observations")
     silver = stage(price_with_macro(typed, observed, universe.series), "silver")
     lines_out = [f"rejected_documents({row['reason']}): {row['count']}"
                  for row in rejected.groupBy("reason").count().collect()]   # at most 3 reasons

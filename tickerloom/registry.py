@@ -1,8 +1,9 @@
 """Every table, view, query and check by name, bound to the test tables.
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame. Queries up to the features compute
-from the raw tables. Those above read the stored silver, gold and snapshot tables, as they would in
-production; each is built once per application and data directory.
+from the raw tables, with the macro observations drawn from them once. Those above read the stored
+silver, gold and snapshot tables, as they would in production. A stored table is built once per
+application and data directory.
 """
 
 from __future__ import annotations
@@ -26,16 +27,6 @@ ROLES = bindings.ROLES
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def silver(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
-    return price_with_macro(
-        bindings.bars(spark, sf_dir, grain), bindings.observations(spark, sf_dir), SERIES
-    )
-
-
-def features(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
-    return gold.daily_features(silver(spark, sf_dir, grain))
-
-
 def _store(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
@@ -43,6 +34,20 @@ def _store(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFra
     return _stored[key]
 
 
+def macro_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations, a small table however many orders they are drawn from."""
+    return _store(spark, sf_dir, "observations", bindings.observations)
+
+
+def silver(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
+    bars = bindings.bars(spark, sf_dir, grain)
+    return price_with_macro(bars, macro_table(spark, sf_dir), SERIES)
+
+
+def features(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
+    return gold.daily_features(silver(spark, sf_dir, grain))
+
+
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, sf_dir, "silver", silver)
 
@@ -83,7 +88,7 @@ def _on_gold(build: Callable[[DataFrame], DataFrame], *inexact: str) -> Query:
 def macro_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The macro values known on every trading day."""
     days = bindings.bars(spark, sf_dir).select("date").distinct()
-    return asof.join_asof(days, bindings.observations(spark, sf_dir), SERIES)
+    return asof.join_asof(days, macro_table(spark, sf_dir), SERIES)
 
 
 def daily_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
