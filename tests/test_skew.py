@@ -1,0 +1,100 @@
+"""A third of all rows under one key: results stay whole and the hot key is split."""
+
+import random
+from datetime import datetime, timedelta
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows_of
+from tickerloom import bindings
+from tickerloom.oracle import ORACLE
+from tickerloom.operators.rank import Ranking, sliced_rank
+
+
+@pytest.fixture
+def hot_tables(spark, tmp_path):
+    rng = random.Random(2)
+    start = datetime(1996, 1, 1)
+    lines = [
+        (rng.randrange(4000), 7 if rng.random() < 0.35 else rng.randrange(500), 1,
+         rng.randrange(1, 8), float(rng.randrange(1, 50)), rng.randrange(10**7) / 100, 0.0, 0.0,
+         "N", "O", start + timedelta(rng.randrange(40)))
+        for _ in range(40_000)
+    ]
+    schema = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    parts = [(k, f"Brand#{k % 25 + 1}", 9.0) for k in range(500)]
+    tables = {
+        "lineitem": spark.createDataFrame(lines, schema).repartition(16),
+        "part": spark.createDataFrame(parts, "p_partkey long, p_brand string, p_retailprice double"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Limits at which the test's few rows look like a hot partition to AQE."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_bars_with_a_hot_part(spark, hot_tables, small_limits):
+    df = bindings.bars(spark, hot_tables)
+    ours = sorted(tuple(r) for r in df.collect())
+    assert "SortMergeJoin(skew=true)" in final_plan(df)
+    con = duckdb.connect()
+    for name in ("lineitem", "part"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{hot_tables}/{name}.parquet/*.parquet'")
+    theirs = sorted(con.sql(f"SELECT symbol, date, open, high, low, close, volume "
+                            f"FROM ({ORACLE['bars']})").fetchall())
+    assert ours == theirs
+
+
+def test_first_and_last_price_equal_the_struct_order(spark, hot_tables):
+    """The packed place orders lines as (order, line, price) does."""
+    lines = spark.read.parquet(f"{hot_tables}/lineitem.parquet")
+    place = F.struct("l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * 100).alias("p"))
+    expected = lines.groupBy(
+        F.col("l_partkey").cast("string").alias("symbol"),
+        F.col("l_shipdate").cast("date").alias("date"),
+    ).agg(F.min(place)["p"].alias("open"), F.max(place)["p"].alias("close"))
+    got = bindings.bars(spark, hot_tables, "part").select("symbol", "date", "open", "close")
+    assert rows_of(got) == rows_of(expected)
+
+
+def test_rank_of_a_hot_value(spark, tmp_path, small_limits):
+    rows = spark.range(60_000, numPartitions=16).select(
+        "id", F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")).alias("v"),
+        F.repeat(F.lit("x"), 20).alias("payload"),
+    )
+    df = sliced_rank(rows, Ranking("v", "place"))
+    got = {r["id"]: r["place"] for r in df.collect()}
+    assert "SortMergeJoin(skew=true)" in final_plan(df)
+    values = sorted(5.0 if n % 3 == 0 else float(n) for n in range(60_000))
+    first = {}
+    for position, value in enumerate(values, 1):
+        first.setdefault(value, position)
+    assert got == {n: first[5.0 if n % 3 == 0 else float(n)] for n in range(60_000)}
