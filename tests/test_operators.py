@@ -166,3 +166,32 @@ def test_joins_to_benchmark_and_market_are_broadcast(spark):
     df = _features(spark, [("SPY", jan(1), 0.0), ("A", jan(1), 0.1)])
     plan = analytics.capm_beta(df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_each_sector_may_have_its_own_benchmark(spark, make_silver):
+    from tickerloom.plans import gold, views
+
+    growth = {"XLK": 1, "SOXX": 3, "NVDA": 2, "AAPL": 5}
+    features = gold.daily_features(make_silver(
+        [(s, jan(d), 10.0 + d * k) for s, k in growth.items() for d in (1, 2, 3)]))
+    roles = Roles(benchmark_of={"Semiconductors": "SOXX"})
+    rows = views.beside_benchmark(features, roles, jan(3)).collect()
+    returns = {(r["symbol"], r["date"]): r["return_1d"] for r in rows}
+    assert len(rows) == 12
+    for r in rows:
+        benchmark = "SOXX" if r["symbol"] in ("SOXX", "NVDA") else "XLK"
+        assert r["sector_return_1d"] == returns[benchmark, r["date"]]
+
+
+def test_classification_may_be_a_table(spark, make_silver):
+    from tickerloom.plans import gold, views
+
+    table = spark.createDataFrame(
+        [("A", "ETF", "Energy"), ("A", "ETF", "Energy"), ("B", "STOCK", None)],
+        "symbol string, asset_type string, sector string")
+    features = gold.daily_features(make_silver([(s, jan(1), 1.0) for s in "ABC"]))
+    rows = as_dicts(views.daily_recent(features, jan(1), table), "symbol")
+    assert [(r["symbol"], r["asset_type"], r["sector"]) for r in rows] == [
+        ("A", "ETF", "Energy"), ("B", "STOCK", "Tech (broad)"), ("C", "STOCK", "Tech (broad)")]
+    board = views.leaderboard(gold.symbol_summary(features), table)
+    assert {r["symbol"]: r["asset_type"] for r in board.collect()}["A"] == "ETF"

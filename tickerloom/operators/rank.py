@@ -13,8 +13,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICES = 64
 ONE_TASK = 100_000   # rows that a single task may sort
+PER_SLICE = 1_000_000   # distinct values in a slice, as long as MOST_SLICES allows
+LEAST_SLICES, MOST_SLICES = 64, 4096
 
 
 class Ranking(NamedTuple):
@@ -39,12 +40,19 @@ def _plain(ranking: Ranking) -> Column:
     return F.rank().over(Window.orderBy(order(ranking.value))).cast("bigint")
 
 
-def sliced_rank(df: DataFrame, ranking: Ranking, slices: int = SLICES) -> DataFrame:
-    """Add one ranking with no task seeing more than a slice of the distinct values."""
+def sliced_rank(df: DataFrame, ranking: Ranking, slices: int | None = None) -> DataFrame:
+    """Add one ranking with no task seeing more than a slice of the distinct values.
+
+    ``slices`` defaults to what an approximate count of the distinct values asks for. A value that
+    many rows share is one row here; the join back to those rows is left to AQE skew splitting.
+    """
     value, rank, descending = ranking
+    if slices is None:
+        distinct = df.agg(F.approx_count_distinct(value)).head()[0]
+        slices = min(max(distinct // PER_SLICE, LEAST_SLICES), MOST_SLICES)
     counts = df.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
     points = [n / slices for n in range(1, slices)]
-    cuts = counts.agg(F.percentile_approx("_value", points, 10000)).scalar()
+    cuts = counts.agg(F.percentile_approx("_value", points, 50 * MOST_SLICES)).scalar()
 
     better = F.desc if descending else F.asc
     above = F.size(F.filter(F.col("_cuts"), lambda cut: cut < F.col("_value")))

@@ -1,4 +1,8 @@
-"""Analytical queries over the daily features."""
+"""Analytical queries over the daily features.
+
+Results are sorted by their leading column and then by key: with the key in the ordering, Spark can
+divide a run of equal values, such as one busy date, between sort tasks.
+"""
 
 from __future__ import annotations
 
@@ -23,7 +27,7 @@ def beside_market(features: DataFrame, market: str) -> DataFrame:
 def return_correlation(features: DataFrame, blocks: int | None = None) -> DataFrame:
     """Correlation of daily returns for every pair of symbols, highest first."""
     return pairwise_correlation(features, "return_1d", blocks).orderBy(
-        F.desc_nulls_last("correlation")
+        F.desc_nulls_last("correlation"), "symbol_a", "symbol_b"
     )
 
 
@@ -38,7 +42,7 @@ def capm_beta(features: DataFrame, market: str = MARKET_PROXY) -> DataFrame:
         guarded.beta(own, proxy).alias("beta"),
         guarded.correlation(own, proxy).alias("correlation_to_spy"),
         (F.avg(own) - F.avg(proxy)).alias("naive_alpha"),
-    ).orderBy(F.desc_nulls_last("beta"))
+    ).orderBy(F.desc_nulls_last("beta"), "symbol")
 
 
 def regime_averages(features: DataFrame) -> DataFrame:
@@ -65,7 +69,7 @@ def sector_alpha(
     return beside_benchmark(features, roles, as_of).groupBy("symbol").agg(
         F.avg("alpha_1d").alias("avg_daily_alpha"),
         F.stddev_samp("alpha_1d").alias("alpha_volatility"),
-    ).orderBy(F.desc_nulls_last("avg_daily_alpha"))
+    ).orderBy(F.desc_nulls_last("avg_daily_alpha"), "symbol")
 
 
 def event_screen(features: DataFrame) -> DataFrame:
@@ -73,7 +77,7 @@ def event_screen(features: DataFrame) -> DataFrame:
     return (
         features.filter(labels.is_event(F.col("volume_rel_20d"), F.col("return_1d")))
         .select("symbol", "date", "close", "return_1d", "volume_rel_20d", "vol_ann_21d")
-        .orderBy(F.desc_nulls_last("volume_rel_20d"))
+        .orderBy(F.desc_nulls_last("volume_rel_20d"), "symbol", "date")
     )
 
 
@@ -82,7 +86,7 @@ def mean_reversion(features: DataFrame) -> DataFrame:
     return (
         features.filter(labels.is_stretched(F.col("rsi_14"), F.col("dist_sma_50")))
         .select("symbol", "date", "close", "rsi_14", "dist_sma_50", "dist_sma_200")
-        .orderBy(F.desc_nulls_last("date"))
+        .orderBy(F.desc_nulls_last("date"), "symbol")
     )
 
 
@@ -92,4 +96,4 @@ def tail_risk(features: DataFrame, market: str = MARKET_PROXY) -> DataFrame:
     return beside_market(features, market).groupBy("symbol").agg(
         F.avg(F.when(bad, F.col("return_1d"))).alias("avg_return_on_bad_market_days"),
         F.count_if(bad).alias("bad_days"),
-    ).orderBy(F.asc_nulls_last("avg_return_on_bad_market_days"))
+    ).orderBy(F.asc_nulls_last("avg_return_on_bad_market_days"), "symbol")

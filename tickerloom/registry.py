@@ -10,28 +10,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from . import bindings, schemas
 from .operators import asof
 from .operators.rank import Ranking, sliced_rank
 from .plans import analytics, charts, gold, quality, views
 from .plans.silver import price_with_macro
-from .session import scratch_path, stage
+from .session import scratch_path
 from .settings import DEFAULT_SERIES as SERIES
 from .sources import bronze, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROLES = bindings.ROLES
-_stored: dict[tuple[str, str, str], DataFrame] = {}
+_stored: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
 def _store(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+    """The stored table ``name``, built on first use and again if its folder was cleared."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _stored:
-        _stored[key] = stage(build(spark, sf_dir), name)
-    return _stored[key]
+    if key not in _stored or not tables.table_exists(spark, _stored[key][0]):
+        df, path = build(spark, sf_dir), scratch_path(spark, name)
+        tables.write_snapshot(df, path)
+        _stored[key] = (path, df.schema)
+    path, schema = _stored[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def macro_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 # Default universe, macro series with their column names, benchmarks, asset classes.
 DEFAULT_SYMBOLS = ("AAPL", "MSFT", "GOOGL")
 DEFAULT_SERIES = {"CPIAUCSL": "cpi", "FEDFUNDS": "fedFundsRate", "DGS10": "treasury10y"}
@@ -66,4 +68,5 @@ class Roles:
 
     market: str = MARKET_PROXY
     sector_benchmark: str = SECTOR_BENCHMARK
-    classes: Classification = field(default_factory=Classification)
+    classes: Classification | DataFrame = field(default_factory=Classification)
+    benchmark_of: dict[str, str] = field(default_factory=dict)   # sector to its own benchmark
