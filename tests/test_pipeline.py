@@ -138,7 +138,8 @@ def test_new_documents_reach_silver_incrementally(spark, landed):
     silver, universe = str(folder / "silver"), Universe(None)
 
     def follow():
-        follow_prices(spark, str(folder / "prices"), str(folder / "macro"), silver,
+        observed = bronze.observations(bronze.macro_documents(spark, str(folder / "macro")))
+        follow_prices(spark, str(folder / "prices"), observed, silver,
                       str(folder / "progress"), universe).awaitTermination()
         return as_dicts(tables.scan(spark, silver, schemas.silver(MACRO)), "symbol", "date")
 

@@ -263,6 +263,9 @@ ORACLE: dict[str, str] = {
        SELECT {_rounded('vol_ann_1m')} FROM (
          SELECT * FROM fresh UNION ALL
          SELECT * FROM old WHERE symbol NOT IN (SELECT symbol FROM fresh))""",
+    "silver_job": f"WITH {_SILVER} SELECT * FROM silver",
+    "gold_job": f"WITH {_GOLD} SELECT {_VOL} FROM gold",
+    "silver_stream": f"WITH {_SILVER} SELECT * FROM silver",
     "bronze_prices": f"WITH {_BARS} SELECT * FROM bars",
     "bronze_macro": f"WITH {_OBS} SELECT * FROM obs",
     "bronze_rejected": """SELECT 'error answer' AS reason, '404' AS code,

@@ -24,6 +24,7 @@ def run_silver(
     universe: Universe = Universe(),
     layout: Layout = BY_SYMBOL,
     lines: bool = False,
+    series_pattern: str = bronze.ENTITY_PATTERN,
     strict: bool = False,
 ) -> list[str]:
     """Read, reject, type, join macro, check and upsert silver. Returns the report's lines."""
@@ -31,7 +32,7 @@ def run_silver(
     typed = bronze.prices(documents, universe.symbols)
     # The as-of join reads the observations twice; they are few and parsed once.
     observed = stage(bronze.observations(
-        bronze.macro_documents(spark, macro_path), list(universe.series)
+        bronze.macro_documents(spark, macro_path, lines), list(universe.series), series_pattern
     ), "observations")
     silver = stage(price_with_macro(typed, observed, universe.series), "silver")
     lines_out = [f"rejected_documents({row['reason']}): {row['count']}"

@@ -15,15 +15,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from . import bindings, schemas
 from .operators import asof
 from .operators.rank import Ranking, sliced_rank
-from .plans import analytics, charts, gold, quality, views
+from .plans import analytics, charts, gold, pipeline, quality, views
 from .plans.silver import price_with_macro
 from .session import scratch_path
-from .settings import DEFAULT_SERIES as SERIES
+from .settings import DEFAULT_SERIES as SERIES, Universe
 from .sources import bronze, tables
+from .streaming.landing import follow_prices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROLES = bindings.ROLES
+UNIVERSE = Universe(tuple(bindings.BRANDS))
+LAYOUT = tables.Layout(buckets=8, yearly=True)
+SERIES_FOLDER = r"series_id=([^/]+)/"
 _stored: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
@@ -110,11 +114,10 @@ def upsert_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         "volume", F.col("volume") + 1
     )
     path = scratch_path(spark, "upsert-daily")
-    layout = tables.Layout(buckets=8, yearly=True)
     history = rows.filter(F.col("date") <= F.add_months(newest, -1))
-    tables.upsert(history, path, layout, staged=True)
-    tables.upsert(batch, path, layout, staged=True)
-    return tables.scan(spark, path, rows.schema, layout)
+    tables.upsert(history, path, LAYOUT, staged=True)
+    tables.upsert(batch, path, LAYOUT, staged=True)
+    return tables.scan(spark, path, rows.schema, LAYOUT)
 
 
 def upsert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +150,45 @@ def bronze_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landed-macro")
     bindings.land_observations(bindings.observation_grid(spark, sf_dir), path)
     documents = bronze.macro_documents(spark, path, lines=True)
-    return bronze.observations(documents, list(SERIES), r"series_id=([^/]+)/")
+    return bronze.observations(documents, list(SERIES), SERIES_FOLDER)
+
+
+def silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver job over landed documents, errors and broken files among them."""
+    root = scratch_path(spark, "silver-job")
+    bindings.land_prices(bindings.bars(spark, sf_dir), f"{root}/prices", batches=1)
+    bindings.land_errors(spark, sf_dir, f"{root}/prices")
+    bindings.land_observations(bindings.observation_grid(spark, sf_dir), f"{root}/macro")
+    path = f"{root}/silver"
+    pipeline.run_silver(
+        spark, f"{root}/prices", f"{root}/macro", path, UNIVERSE, LAYOUT, lines=True,
+        series_pattern=SERIES_FOLDER, strict=True,
+    )
+    return tables.scan(spark, path, schemas.silver(UNIVERSE.macro_columns), LAYOUT)
+
+
+def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold job over a written silver table, run twice."""
+    root = scratch_path(spark, "gold-job")
+    paths = [f"{root}/{name}" for name in ("silver", "features", "summary")]
+    tables.upsert(silver_table(spark, sf_dir), paths[0], LAYOUT, staged=True)
+    for _ in range(2):
+        pipeline.run_gold(spark, *paths, UNIVERSE, LAYOUT, strict=True)
+    written, _ = pipeline.gold_tables(spark, paths[1], paths[2], UNIVERSE, LAYOUT)
+    return rounded(written, *schemas.VOLATILITY)
+
+
+def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from a stream over the landing folder: half the years first, the rest later."""
+    root = scratch_path(spark, "silver-stream")
+    bars, path = bindings.bars(spark, sf_dir), f"{root}/silver"
+    for part in (F.year("date") < 1998, F.year("date") >= 1998):
+        bindings.land_prices(bars.filter(part), f"{root}/prices", batches=1)
+        follow_prices(
+            spark, f"{root}/prices", macro_table(spark, sf_dir), path, f"{root}/progress",
+            UNIVERSE, LAYOUT, lines=True,
+        ).awaitTermination()
+    return tables.scan(spark, path, schemas.silver(UNIVERSE.macro_columns), LAYOUT)
 
 
 def bronze_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,6 +268,9 @@ QUERIES: dict[str, Query] = {
     "gold_quality": _on_gold(quality.gold_quality),
     "upsert_daily": upsert_daily,
     "upsert_summary": upsert_summary,
+    "silver_job": silver_job,
+    "gold_job": gold_job,
+    "silver_stream": silver_stream,
     "bronze_prices": bronze_prices,
     "bronze_macro": bronze_macro,
     "bronze_rejected": bronze_rejected,

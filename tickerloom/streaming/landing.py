@@ -19,7 +19,7 @@ from ..sources.tables import BY_SYMBOL, Layout, upsert
 def follow_prices(
     spark: SparkSession,
     prices_path: str,
-    macro_path: str,
+    observations: DataFrame,
     silver_path: str,
     checkpoint: str,
     universe: Universe = Universe(),
@@ -29,7 +29,8 @@ def follow_prices(
 ) -> StreamingQuery:
     """Process all documents not seen before, in bounded micro-batches, then stop.
 
-    Within a micro-batch the newest landing of a file wins; across micro-batches the later one does.
+    The macro ``observations`` are read as they stand; a revision that should reach rows already
+    written takes a run of the batch job. Within a micro-batch the newest landing of a file wins; across micro-batches the later one does.
     """
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
     landed = bronze.raw_price_documents(reader, prices_path, lines)
@@ -38,10 +39,8 @@ def follow_prices(
         documents = bronze.split(batch).good
         if not lines:
             documents = bronze.latest(documents, F.lower("symbol"))
-        macro = bronze.macro_documents(batch.sparkSession, macro_path)
-        observed = bronze.observations(macro, list(universe.series))
         prices = bronze.prices(documents, universe.symbols)
-        upsert(price_with_macro(prices, observed, universe.series), silver_path, layout)
+        upsert(price_with_macro(prices, observations, universe.series), silver_path, layout)
 
     return (
         landed.writeStream.foreachBatch(merge)
