@@ -5,9 +5,19 @@ from pyspark.sql import functions as F
 
 from conftest import jan, rows_of
 from tickerloom import schemas
+from tickerloom.session import shared_folder, stage
 from tickerloom.sources import tables
 from tickerloom.sources.tables import Layout
 
+def test_intermediate_tables_go_to_the_named_folder(spark, make_prices):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        assert shared_folder(spark) == named.rstrip("/")
+    staged = stage(make_prices([("A", jan(1), 1.0)]), "prices")
+    assert staged.count() == 1
+    assert all(f"{shared_folder(spark)}/tickerloom/" in file for file in staged.inputFiles())
+
+
 LAYOUTS = [Layout(), Layout(buckets=3), Layout(buckets=3, yearly=True), Layout(yearly=True)]
 
 

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Sixty years of a symbol's trading days stay in the window's plain row buffer.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "16384",
     "spark.ui.enabled": "false",
     # Call sites on every column expression cost several driver round trips each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
