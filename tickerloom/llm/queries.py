@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_runs
+from . import language, line_runs, near_dup, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +15,31 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learnt from the documents that are not held out."""
+    return language.identify(_read(spark, sf_dir, "documents"))
+
+
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked at a five-word shingle similarity of 0.75, by connected component."""
+    return near_dup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 40 and more code points found in five documents stay in the largest of them only."""
     return line_runs.line_digest(_read(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token windows of 1024, piece by piece."""
+    return packing.packing_digest(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op6_near_dup": op6_near_dup,
     "op8_line_dedup": op8_line_dedup,
+    "op9_packing": op9_packing,
 }
 
 ORACLE: dict[str, str] = {
