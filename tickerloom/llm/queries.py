@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, line_runs, near_dup, packing
+from . import contamination, language, line_runs, near_dup, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_read(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and test item that is found in it."""
+    return contamination.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every whole text, learnt from the labels that are not held out."""
+    return toxicity.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at a five-word shingle similarity of 0.75, by connected component."""
     return near_dup.near_duplicates(_read(spark, sf_dir, "documents"))
@@ -37,6 +47,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op3_decontamination": op3_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op6_near_dup": op6_near_dup,
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
