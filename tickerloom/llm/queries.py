@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import contamination, language, line_runs, near_dup, packing, toxicity
+from . import chat, contamination, language, line_runs, near_dup, nearest, packing, token_counts, toxicity, url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,11 +20,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_read(spark, sf_dir, "documents"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    return nearest.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and test item that is found in it."""
     return contamination.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals, shares and truncated totals for every length that a document has."""
+    return token_counts.suffix_sums(token_counts.histogram(_read(spark, sf_dir, "documents")))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every whole text, learnt from the labels that are not held out."""
     return toxicity.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
@@ -35,6 +45,11 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from every participant's perspective."""
+    return chat.chat_digest(_read(spark, sf_dir, "conversations"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 40 and more code points found in five documents stay in the largest of them only."""
     return line_runs.line_digest(_read(spark, sf_dir, "documents"))
@@ -45,15 +60,27 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(_read(spark, sf_dir, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries active on the day it was fetched."""
+    pages = _read(spark, sf_dir, "pages")
+    return url_lists.filter_captures(url_lists.captures_of(pages), url_lists.entries_of(pages))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_nearest": op2_nearest,
     "op3_decontamination": op3_decontamination,
+    "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
     "op6_near_dup": op6_near_dup,
+    "op7_chat_format": op7_chat_format,
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_chat_format": chat.ORACLE,
     "op8_line_dedup": line_runs.ORACLE,
+    "op10_url_filter": url_lists.ORACLE,
 }
