@@ -7,7 +7,7 @@ than to the node by the factor ``ALPHA``, and goes on with the next. Edges are a
 and pruned alike. Nodes enter in batches that double, so a batch searches the graph of those before.
 A second round over all nodes repeats this with the finished graph.
 
-Queries go to every shard in blocks of ``QUERIES``; a beam search of width ``BEAM`` answers a block at a
+Queries go to every shard in blocks of ``QUERIES``; a beam search of width ``SEARCH_BEAM`` answers a block at a
 time, and the nearest of all shards are merged. A shard, with its graph, is one row of bounded size, so
 neither an index nor a block of queries depends on the size of the table. Distances are computed on the
 original components in double precision. Every row is indexed.
@@ -32,7 +32,8 @@ from ..session import stage
 from .text import map_arrow
 
 SHARD, QUERIES = 4096, 512
-DEGREE, BEAM, ALPHA = 24, 64, 1.2
+DEGREE, ALPHA = 24, 1.2
+BEAM, SEARCH_BEAM = 64, 128  # of building and of answering
 INDEX = "dim int, shard int, ids binary, vectors binary, graph binary, entry int"
 
 
@@ -161,7 +162,7 @@ def _answer(k: int):
                 points = np.frombuffer(row["points"]).reshape(-1, row["dim"])
                 graph = np.frombuffer(row["graph"], np.int32).reshape(len(vectors), -1)
                 middle = vectors.mean(axis=0)
-                nodes, _ = beam_search((vectors - middle).astype(np.float32), graph, row["entry"], (points - middle).astype(np.float32), BEAM)
+                nodes, _ = beam_search((vectors - middle).astype(np.float32), graph, row["entry"], (points - middle).astype(np.float32), SEARCH_BEAM)
                 exact = np.sqrt(((vectors[np.where(nodes >= 0, nodes, 0)] - points[:, None]) ** 2).sum(axis=2))
                 exact = np.where(nodes >= 0, exact, np.inf)
                 ids = np.frombuffer(row["ids"], np.int64)

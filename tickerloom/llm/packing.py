@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .encoding import encode, vocabulary_path
+from .encoding import SLICE_BYTES, encode, vocabulary_path
 from .text import map_arrow, slices
 
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
@@ -107,7 +107,7 @@ def _pack(vocabulary: str | None, capacity: int, piece: int, block: int):
             number += count
             return _rows(out)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             whole = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"), path)):
                 raw = np.append(ids, np.uint32(END)).astype("<u4").tobytes()
@@ -141,7 +141,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = 1024, p
          block: int = 2048) -> DataFrame:
     """One row per piece, with its ids as little-endian unsigned 32-bit values."""
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return map_arrow(plain, _pack(vocabulary, capacity, piece, block), SCHEMA)
+    return map_arrow(plain, _pack(vocabulary, capacity, piece, block), SCHEMA, rows=2000)
 
 
 def packing_digest(docs: DataFrame, **options) -> DataFrame:

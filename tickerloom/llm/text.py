@@ -26,7 +26,7 @@ def map_arrow(df: DataFrame, function, schema: str, rows: int = 1000) -> DataFra
     return df.mapInArrow(function, schema)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -34,7 +34,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         first = 0
         while first < batch.num_rows:
             before = ends[first - 1] if first else 0
-            last = int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))
+            last = int(np.searchsorted(ends, before + most, side="right"))
             last = max(last, first + 1)
             yield batch.slice(first, last - first)
             first = last

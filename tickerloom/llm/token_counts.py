@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .encoding import encode, vocabulary_path
+from .encoding import SLICE_BYTES, encode, vocabulary_path
 from .text import map_arrow, slices
 
 RANGE = 1024
@@ -26,7 +26,7 @@ RANGE = 1024
 def _lengths(vocabulary: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = vocabulary or vocabulary_path()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             sizes = np.array([len(ids) for ids in encode(batch.column("text"), path)], np.int64)
             length, n = np.unique(sizes, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(length), pa.array(n.astype(np.int64))], names=["length", "n"])
@@ -36,7 +36,7 @@ def _lengths(vocabulary: str | None):
 
 def histogram(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``length, n_docs``."""
-    counted = map_arrow(docs.select("text"), _lengths(vocabulary), "length long, n long")
+    counted = map_arrow(docs.select("text"), _lengths(vocabulary), "length long, n long", rows=2000)
     return counted.groupBy("length").agg(F.sum("n").alias("n_docs"))
 
 
