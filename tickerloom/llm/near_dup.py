@@ -1,23 +1,24 @@
 """Near-duplicate documents by b-bit MinHash.
 
-One scan hashes every document's distinct five-word shingles, takes 128 minima, hashes them in 32
-bands of four and keeps the two low bits of every (mixed) minimum, packed into four longs. Documents
-with equal shingle sets fall into one class, of which the smallest id goes on.
-
-Two representatives are candidates if they share a band. In the first round every representative is
-compared with the centres of its buckets only, the centre being the member that has most bucket mates
-over all its bands; that is as many pairs as rows. The packed signatures estimate the similarity: of
-the fields that agree, a quarter agrees by chance, so J = (P - 1/4) / (3/4). Pairs clearly below the
-threshold are left out (six standard errors), the others are confirmed on their full sets. The second
-round settles everything the first left open: all pairs of a bucket whose members are not yet
-connected. Once a group is connected, its other pairs need no look, so the pairs examined follow the
-links between different groups and not the square of a group's size.
+One scan hashes every document's distinct five-word shingles, takes 512 minima, hashes the first 128 of
+them in 32 bands of four and keeps the two low bits of every (mixed) minimum, packed into 16 longs.
+Documents with equal shingle sets fall into one class, of which the smallest id goes on.
+
+Two representatives are candidates if they share a band. The packed signatures estimate their
+similarity: of the fields that agree, a quarter agrees by chance, so J = (P - 1/4) / (3/4). Pairs five
+standard errors below the threshold are left out, the others are confirmed on their full sets, in two
+rounds. The first compares every representative with the centres of its buckets only, a centre being
+the member that has most bucket mates over all its bands; that is at most a pair per row and band. The
+second settles what the first left open: representatives that, by the estimate, may be linked with a
+bucket mate they are not yet connected with. They are dealt in blocks of ``BLOCK`` rows; a task holds
+two blocks of one bucket with their sets, looks at the pairs between different groups, likeliest first,
+and returns only links that connect two groups. So no list of a group's pairs is ever made.
 
 Two documents at the threshold miss all bands with probability (1 - 0.75^4)^32, about 5 in a million.
 
 Defined cases: NULL text, or text without a word, has an empty set and is linked with nothing; fewer
-than five words make one shingle of the whole sequence; rows with one ``doc_id`` are one vertex, each
-with its own set; a row without ``doc_id`` is linked with nothing, has no component and is kept; an
+than five words make one shingle of the whole sequence; a ``doc_id`` is one vertex: equal rows count
+once, and if its rows differ they share a component, found by the set with the smallest hash; a row without ``doc_id`` is linked with nothing, has no component and is kept; an
 empty table gives an empty result; other columns take no part.
 """
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,10 +36,11 @@ from .components import components
 from .text import blank_separated, flat, map_arrow, mix, slices, words
 
 WORDS = 5
-MINIMA, BAND_ROWS, BITS = 128, 4, 2
-BANDS, PER_LONG = MINIMA // BAND_ROWS, 64 // BITS
+MINIMA, BANDS, BAND_ROWS, BITS = 512, 32, 4, 2
+PER_LONG = 64 // BITS
+BLOCK = 512  # rows of a bucket that meet in one task
 THRESHOLD = 75  # per cent
-ESTIMATE_FROM = 0.47  # six standard errors of the estimate below the threshold
+ESTIMATE_FROM = 0.635  # five standard errors of the estimate below the threshold
 _LOW_BITS = "6148914691236517205L"  # 0x5555555555555555, the low bit of every field
 _SIGNATURE = ", ".join(f"s{i} long" for i in range(MINIMA // PER_LONG))
 SCHEMA = f"doc_id long, n_shingles long, f1 long, f2 long, {_SIGNATURE}, bands array<long>"
@@ -70,8 +73,8 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
 def minima(shingles: np.ndarray) -> np.ndarray:
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     best = np.full(MINIMA, np.uint32(0xFFFFFFFF))
-    for i in range(0, len(short), 4096):
-        table = _FACTORS[:, None] * short[None, i:i + 4096]
+    for i in range(0, len(short), 1024):
+        table = _FACTORS[:, None] * short[None, i:i + 1024]
         table += _SHIFTS[:, None]
         np.minimum(best, table.min(axis=1), out=best)
     return best
@@ -91,7 +94,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prints.append((shingles.sum(dtype=np.uint64), mix(shingles ^ _seeds[-9]).sum(dtype=np.uint64)))
             lows.append(minima(shingles))
         lows = np.array(lows, np.uint32).reshape(-1, MINIMA).astype(np.uint64)
-        keys = mix((mix(lows.reshape(-1, BANDS, BAND_ROWS)) * _BAND_PLACES).sum(axis=2, dtype=np.uint64) + _BAND_NUMBERS)
+        keys = mix((mix(lows[:, :BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS)) * _BAND_PLACES).sum(axis=2, dtype=np.uint64) + _BAND_NUMBERS)
         low = mix(lows + np.uint64(1)) & np.uint64((1 << BITS) - 1)
         packed = (low.reshape(len(lows), -1, PER_LONG) << _FIELD_SHIFTS).sum(axis=2, dtype=np.uint64)
         prints = np.array(prints, np.uint64).reshape(-1, 2)
@@ -116,11 +119,41 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = []
         for x, y in zip(batch.column("set_a"), batch.column("set_b")):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            links.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
+            links.append(_similar(x, y))
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(links, pa.bool_()))
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= THRESHOLD * (len(x) + len(y) - both)
+
+
+def _settle(group: pd.DataFrame) -> pd.DataFrame:
+    """Links that connect groups, among the rows of two blocks of one bucket."""
+    group = group.sort_values("rep", ignore_index=True)
+    first, second = group["i"].iloc[0], group["j"].iloc[0]
+    rows, columns = (np.flatnonzero(group["block"].to_numpy() == b) for b in (first, second))
+    packed = group[[f"s{i}" for i in range(MINIMA // PER_LONG)]].to_numpy(np.int64).view(np.uint64)
+    differing = np.zeros((len(rows), len(columns)), np.int64)
+    for word in range(packed.shape[1]):
+        x = packed[rows, word][:, None] ^ packed[columns, word][None, :]
+        differing += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555))
+    like = (1 - differing / MINIMA - 2.0 ** -BITS) / (1 - 2.0 ** -BITS)
+    labels = group["label"].to_numpy().copy()
+    open_ = (like >= ESTIMATE_FROM) & (labels[rows][:, None] != labels[columns][None, :])
+    if first == second:
+        open_ &= rows[:, None] < columns[None, :]
+    at = np.argwhere(open_)
+    at = at[np.argsort(-like[open_], kind="stable")]
+    sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
+    links = []
+    for x, y in zip(rows[at[:, 0]], columns[at[:, 1]]):
+        if labels[x] != labels[y] and _similar(sets[x], sets[y]):
+            links.append((group["rep"][x], group["rep"][y]))
+            labels[labels == max(labels[x], labels[y])] = min(labels[x], labels[y])
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
 def estimate(left: str, right: str) -> Column:
     """Collision-corrected similarity of two packed signatures, from bit counts."""
     agreeing = F.lit(0)
@@ -141,25 +174,24 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def links(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
     """``(node, label)`` of the representatives that are linked with another one."""
     print_of = ["rep", "f1", "f2", "n_shingles"]
-    reps = signed.withColumnRenamed("doc_id", "rep").join(classes.select(*print_of), print_of, "left_semi").dropDuplicates(print_of)
+    # A representative that stands for several classes (one id, different texts) is searched by one set.
+    chosen = classes.groupBy("rep").agg(F.min(F.struct("f1", "f2", "n_shingles")).alias("own")).select("rep", "own.*")
+    reps = signed.withColumnRenamed("doc_id", "rep").join(chosen, print_of, "left_semi").dropDuplicates(print_of)
     banded = reps.select("rep", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     members = stage(banded.join(shared, "key"), "members")
     mates = members.groupBy("rep").agg(F.sum("size").alias("mates"))
-    # A representative's signature; several rows with one doc_id count as one, by any of its sets.
-    nodes = stage(mates.join(reps.drop("bands", "f1", "f2", "n_shingles"), "rep").dropDuplicates(["rep"]), "nodes")
+    nodes = stage(mates.join(reps.drop("bands", "f1", "f2", "n_shingles"), "rep"), "nodes")
     centres = (members.join(nodes.select("rep", "mates"), "rep").groupBy("key")
                .agg(F.max(F.struct("mates", (-F.col("rep")).alias("less"))).alias("top"))
                .select("key", (-F.col("top.less")).alias("centre")))
     pairs = (members.join(centres, "key").filter("rep <> centre")
-             .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"), "rep").distinct())
+             .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct())
     signature = [c for c in nodes.columns if c[0] == "s" and c[1:].isdigit()]
     packed = nodes.select("rep", F.struct(*signature).alias("sig"))
     side = lambda name: packed.select(F.col("rep").alias(name), F.col("sig").alias(f"sig_{name}"))
     likely = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("like", estimate("sig_a", "sig_b")).filter(F.col("like") >= ESTIMATE_FROM)
-    # The first round takes each representative's likeliest centre; the second looks at the rest.
-    first = stage(likely.groupBy("rep").agg(F.max(F.struct("like", (-F.col("a")).alias("x"), (-F.col("b")).alias("y"))).alias("best"))
-                  .select((-F.col("best.x")).alias("a"), (-F.col("best.y")).alias("b")).distinct(), "first")
+    first = stage(likely.select("a", "b").distinct(), "first")
     wanted = members.select(F.col("rep").alias("__rep")).distinct().hint("shuffle_hash")
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, F.col("doc_id") == F.col("__rep"), "left_semi")
     hashed = map_arrow(texts, _sets, "doc_id long, shingles binary").withColumnRenamed("doc_id", "rep")
@@ -171,11 +203,15 @@ def links(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
         "key", "rep", F.coalesce("label", "rep").alias("label"))
     open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
     open_rows = stage(labelled.join(open_keys, "key").join(packed, "rep"), "open")
-    x = open_rows.select("key", F.col("rep").alias("x"), F.col("label").alias("label_x"), F.col("sig").alias("sig_x"))
-    y = open_rows.select("key", F.col("rep").alias("y"), F.col("label").alias("label_y"), F.col("sig").alias("sig_y"))
-    rest = x.join(y, (x["key"] == y["key"]) & (F.col("label_x") < F.col("label_y")) & (estimate("sig_x", "sig_y") >= ESTIMATE_FROM))
-    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = stage(confirmed(rest, sets), "linked")
+    mates = open_rows.select(F.col("key").alias("__key"), F.col("label").alias("__label"), F.col("sig").alias("sig_y"))
+    doubtful = stage(open_rows.withColumnRenamed("sig", "sig_x").join(
+        mates, (F.col("key") == F.col("__key")) & (F.col("label") != F.col("__label")) & (estimate("sig_x", "sig_y") >= ESTIMATE_FROM),
+        "left_semi"), "doubtful")
+    blocks = doubtful.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = doubtful.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    paired = (dealt.join(sets, "rep").select("key", "rep", "label", "block", "sig_x.*", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+              .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}))
+    more = stage(paired.groupBy("key", "i", "j").applyInPandas(_settle, "a long, b long").distinct(), "linked")
     if more.isEmpty():
         return labels
     return components(linked.union(more))
