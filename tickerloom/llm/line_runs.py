@@ -117,6 +117,15 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40,
             .drop("__lines", "__dropped"))
 
 
+def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with the surviving text and its length in ``n_chars``; other columns as they were."""
+    text = F.when(F.col("text").isNotNull(), F.col("_kept"))
+    cleaned = drop_repeated_lines(docs, **options).withColumn("text", text)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(*docs.columns)
+
+
 def line_digest(docs: DataFrame, **options) -> DataFrame:
     """The contract's columns."""
     return drop_repeated_lines(docs.select("doc_id", "text"), **options).select(

@@ -237,3 +237,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), found).alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id; columns as they were."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")
