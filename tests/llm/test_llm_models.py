@@ -1,0 +1,101 @@
+"""Language identification and toxicity: cases, and held-out accuracy on the test tables."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tickerloom.llm import language, toxicity
+from tests.llm.data import TESTDATA
+
+ENGLISH = ["the house stands on the hill and the river runs below it", "when the rain came they went into the old barn",
+           "nothing is so good as bread with butter in the morning", "she thought that the answer would be there"]
+GERMAN = ["das haus steht auf dem berg und der fluss liegt darunter", "als der regen kam gingen sie in die alte scheune",
+          "nichts ist so gut wie brot mit butter am morgen", "sie dachte dass die antwort dort sein werde"]
+
+
+def auc(scores, truth):
+    ranks = np.argsort(np.argsort(scores)) + 1
+    good = truth.sum()
+    return (ranks[truth].sum() - good * (good + 1) / 2) / (good * (~truth).sum())
+
+
+@pytest.fixture(scope="module")
+def prose(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([(f"{t} {k}", lang) for k in range(6) for lang, ts in (("en", ENGLISH), ("de", GERMAN)) for t in ts])]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_language_cases(spark, prose):
+    model = language.fit(prose.select(F.col("doc_id").alias("key"), "text", "lang"), clusters=2)
+    assert set(model.languages) == {"en", "de"} and np.allclose((model.centroids ** 2).sum(axis=1), 1, atol=1e-5)
+    rows = [(1, "the river and the hill"), (2, "der fluss und der berg"), (3, None), (4, ""), (5, "12 34 !!"), (6, "Привет как дела сегодня"),
+            (7, "the hill " * 30_000), (None, "the barn"), (8, "THE RIVER"), (8, "THE RIVER")]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, lang string, row int")
+    got = sorted(((r.row, r.lang_pred, r.rejected) for r in language.predict(docs, model, F.col("doc_id"), "long").collect()), key=repr)
+    assert got == sorted([(1, "en", False), (2, "de", False), (3, "und", True), (4, "und", True), (5, "und", True), (6, got[[g[0] for g in got].index(6)][1], True),
+                          (7, "en", False), (None, "en", False), (8, "en", False), (8, "en", False)], key=repr)
+    scores = [r.score for r in language.predict(docs, model, F.col("doc_id"), "long").collect()]
+    assert 0 <= min(scores) and max(scores) <= 1
+    assert language.predict(docs.limit(0), model, F.col("doc_id"), "long").count() == 0
+
+
+def test_nothing_to_learn_from(spark, prose):
+    for docs in (prose.limit(0), prose.withColumn("lang", F.lit(None).cast("string")), prose.withColumn("text", F.lit(None).cast("string"))):
+        got = language.identify(docs)
+        assert {r.lang_pred for r in got.collect()} <= {"und"}
+
+
+def test_prediction_sees_the_text_alone(spark, prose):
+    plain = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(prose).collect()}
+    lied = prose.withColumn("lang", F.when(language.held_out(F.col("doc_id")), F.lit("zz")).otherwise(F.col("lang")))
+    assert {r.doc_id: (r.lang_pred, r.score) for r in language.identify(lied).collect()} == plain
+
+
+def test_filter_keeps_rows_and_columns(spark, prose):
+    docs = prose.withColumn("row", F.lit(1)).union(spark.createDataFrame([(900, None, "en", 1), (901, "...", None, 1)], "doc_id long, text string, lang string, row int"))
+    kept = language.keep_identified(docs)
+    assert kept.schema == docs.schema and sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.filter("doc_id < 900").collect()))
+
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    got = language.identify(docs).join(docs.select("doc_id", "lang", "text"), "doc_id").toPandas()
+    held = got[got.held_out]
+    assert (held.lang == held.lang_pred).mean() >= 0.99 and not got.rejected.any()
+
+
+def test_toxicity_cases(spark):
+    rng = np.random.default_rng(0)
+    vocabulary = [f"word{i}" for i in range(200)]
+    texts = [" ".join(rng.choice(vocabulary, 30)) + (" you scoundrel" if i % 4 == 0 else "") for i in range(400)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, score int")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)] + [(0, 0), (1, None), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    rows = [(1, "word1 you SCOUNDREL word2"), (2, "word1 word2"), (3, None), (4, ""), (5, "word3 " * 40_000 + "scoundrel"), (None, "scoundrel"), (2, "word1 word2")]
+    got = sorted(((r.doc_id, r.score >= toxicity.CUT) for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()), key=repr)
+    assert got == sorted([(1, True), (2, False), (3, False), (4, False), (5, True), (None, True), (2, False)], key=repr)
+    judged = toxicity.judge(docs, labels).toPandas()
+    assert len(judged) == 400 and ((judged.predicted == 1) == (judged.doc_id % 4 == 0)).all() and judged.score.between(0, 1).all()
+
+
+def test_toxicity_without_both_labels(spark):
+    docs = spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string")
+    for rows, low, high in (([], 0.5, 0.5), ([(1, 0)], 0, 0.01), ([(1, 1)], 0.99, 1)):
+        model = toxicity.fit(docs, spark.createDataFrame(rows, "doc_id long, toxic int"))
+        assert all(low <= r.score <= high for r in toxicity.score(docs, model).collect())
+    assert toxicity.judge(docs.limit(0), spark.createDataFrame([(1, 1)], "doc_id long, toxic int")).count() == 0
+
+
+def test_held_out_labels_are_never_read(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " + ("bad thing" if i % 2 else "good one")) for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    turned = labels.withColumn("toxic", F.when(language.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert sorted(map(tuple, toxicity.judge(docs, labels).collect())) == sorted(map(tuple, toxicity.judge(docs, turned).collect()))
+
+
+def test_toxicity_held_out_ranking(spark):
+    data = TESTDATA.replace("sf0.01", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.judge(docs, labels).join(labels, "doc_id").toPandas()
+    held = got[got.held_out]
+    assert auc(held.score.to_numpy(), held.toxic.to_numpy() == 1) >= 0.97

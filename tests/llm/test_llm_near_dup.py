@@ -1,0 +1,120 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tickerloom.llm import near_dup
+from tickerloom.llm.components import components
+
+
+def sets_of(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    own = re.findall(r"[^\x20\x09-\x0d]+", lowered)
+    return frozenset(tuple(own[i:i + 5]) for i in range(len(own) - 4)) if len(own) >= 5 else frozenset([tuple(own)] if own else [])
+
+
+def union(pairs, nodes):
+    up = {n: n for n in nodes}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    return {n: root(n) for n in nodes}
+
+
+def brute(rows):
+    sets = {d: sets_of(t) for d, t in rows if d is not None}
+    ids = sorted(sets)
+    links = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:]
+             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    found = union(links, ids)
+    return sorted((d, len(sets_of(t)), found.get(d), d is None or found[d] == d) for d, t in rows if d is not None)
+
+
+def run(spark, rows):
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, label int, key string")
+    return sorted(tuple(r) for r in near_dup.near_duplicates(docs).filter("doc_id IS NOT NULL").collect())
+
+
+def prose(rng, n):
+    return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+
+def edited(rng, words, share):
+    return [f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in words]
+
+
+def test_cases(spark):
+    rng = random.Random(1)
+    long = prose(rng, 20_000)
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one\x0bTWO "), (6, "one two three"), (7, " ".join(long)),
+            (8, " ".join(edited(rng, long, 0.01))), (9, "a b c d e"), (9, "a b c d e"), (10, "A B C D E"), (11, "É b c d e"), (12, "é b c d e")]
+    assert run(spark, rows) == brute(rows)
+    docs = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f")], "doc_id long, text string")
+    assert sorted(map(repr, near_dup.near_duplicates(docs).collect())) == sorted([
+        "Row(doc_id=None, n_shingles=2, component_id=None, kept=True)", "Row(doc_id=1, n_shingles=2, component_id=1, kept=True)"])
+    assert near_dup.near_duplicates(docs.limit(0)).count() == 0
+    assert near_dup.keep_one_of_each(docs).count() == 2
+
+
+def test_brute_force_with_copies_chains_and_a_hot_group(spark):
+    rng = random.Random(2)
+    rows, base, chain = [], prose(rng, 120), prose(rng, 200)
+    for _ in range(150):  # one base, copies of every distance, so most pairs of the group are not links
+        rows.append(" ".join(edited(rng, base, rng.choice([0, 0.005, 0.01, 0.02, 0.03, 0.05]))))
+    for _ in range(40):  # each step is a link, the ends are not
+        chain = edited(rng, chain, 0.015)
+        rows.append(" ".join(chain))
+    rows += [" ".join(prose(rng, rng.randrange(1, 80))) for _ in range(100)] + ["same text of the group again"] * 60
+    rng.shuffle(rows)
+    rows = [(i * 3 + 1, t) for i, t in enumerate(rows)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_blocks_settle_what_the_centres_leave_open(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    rng = random.Random(3)
+    base = prose(rng, 100)
+    rows = [(i, " ".join(edited(rng, base, 0.03))) for i in range(60)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_equal_ids_of_different_texts_are_one_vertex(spark):
+    a, b = "a b c d e f g h", "p q r s t u v w"
+    got = run(spark, [(1, a), (2, a), (2, b), (3, b)])
+    assert [r[2] for r in got] == [1, 1, 1, 1]
+
+
+def test_estimate_is_near_the_similarity(spark):
+    rng = random.Random(4)
+    base = prose(rng, 600)
+    texts = [" ".join(base)] + [" ".join(edited(rng, base, s)) for s in (0.01, 0.03, 0.05, 0.5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    packed = near_dup.signatures(docs).select("doc_id", F.struct(*[f"s{i}" for i in range(16)]).alias("sig"))
+    pairs = packed.filter("doc_id = 0").select(F.col("sig").alias("x")).join(packed.select("doc_id", F.col("sig").alias("y")))
+    for doc, value in pairs.select("doc_id", near_dup.estimate("x", "y")).collect():
+        one, two = sets_of(texts[0]), sets_of(texts[doc])
+        assert abs(value - len(one & two) / len(one | two)) < 0.1
+
+
+def test_minima_do_not_depend_on_how_many_shingles_are_hashed_at_once():
+    shingles = np.sort(np.random.default_rng(0).integers(0, 1 << 63, 5000, dtype=np.uint64))
+    halves = np.minimum(near_dup.minima(shingles[:2500]), near_dup.minima(shingles[2500:]))
+    assert np.array_equal(near_dup.minima(shingles), halves)
+    assert [len(s) for s in near_dup.shingle_sets(pa.array(["a b c d e f", None, "a"]))] == [2, 0, 1]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(-20, 60), st.integers(-20, 60)), max_size=60))
+def test_components_are_those_of_union_find(spark, pairs):
+    got = {r.node: r.label for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    real = [(a, b) for a, b in pairs if a != b]
+    assert got == union(real, sorted({x for p in real for x in p}))

@@ -1,0 +1,93 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tickerloom.llm import packing, token_counts
+from tickerloom.llm.encoding import encode, vocabulary_path
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 100), max_size=40), st.integers(1, 8))
+def test_differencing_places_every_piece_and_adds_up(sizes, windows):
+    window, loads = packing.differencing(np.array(sizes, np.int64), windows)
+    assert len(window) == len(sizes) and (len(sizes) == 0 or window.min() >= 0)
+    assert list(np.bincount(window, weights=sizes, minlength=len(loads))) == list(loads) if sizes else len(loads) == 0
+    assert len(loads) <= windows
+
+
+def test_differencing_balances_better_than_first_come():
+    sizes = np.random.default_rng(3).integers(20, 200, 400)
+    _, loads = packing.differencing(sizes, 50)
+    assert loads.max() - loads.min() <= 3
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 64), min_size=1, max_size=60))
+def test_window_count_rises_until_no_window_is_over(sizes):
+    window, count = packing.pack_block(np.array(sizes, np.int64), 64)
+    assert np.bincount(window, weights=sizes).max() <= 64 and count >= -(-sum(sizes) // 64)
+
+
+def test_cuts_add_up():
+    for tokens in (1, 199, 200, 201, 1023, 1024, 1025, 5000):
+        parts = packing.cuts(tokens, 1024, 200)
+        assert sum(parts) == tokens and max(parts) <= 1024 and min(parts) >= 1
+
+
+def pieces(spark, rows, schema="doc_id long, text string"):
+    return packing.pack(spark.createDataFrame(rows, schema).coalesce(1)).collect()
+
+
+def test_round_trip_and_windows(spark):
+    rows = [(1, "Some words. " * 900), (2, None), (3, ""), (4, "short"), (4, "short"), (None, "no id"), (5, "<|endoftext|> x")]
+    rows += [(100 + i, f"document {i} " + "word " * (i % 60)) for i in range(300)]
+    got = pieces(spark, [(*r, "x", 1) for r in rows], "doc_id long, text string, ids string, start int")
+    ids = list(encode(pa.array([t for _, t in rows], pa.string()), vocabulary_path()))
+    streams = {}
+    for (doc, _), own in zip(rows, ids):
+        streams.setdefault(doc, []).append(list(own) + [0])
+    by_doc = {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert set(by_doc) == set(streams)
+    for doc, own in by_doc.items():
+        tokens = sorted((r.start, list(np.frombuffer(r.ids, "<u4"))) for r in own)
+        assert sorted(x for s in streams[doc] for x in s) == sorted(x for _, part in tokens for x in part)
+        if len(streams[doc]) == 1:
+            assert [x for _, part in tokens for x in part] == streams[doc][0]
+    filled = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0) and r.length == len(r.ids) // 4
+        filled[r.sequence_id] = r.offset + r.length
+    assert max(filled.values()) <= 1024
+    assert sum(1024 - n for n in filled.values()) <= 0.1 * sum(filled.values())
+
+
+def test_digest_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    (row,) = packing.packing_digest(docs).collect()
+    ids = list(encode(pa.array(["a b c"]), vocabulary_path()))[0]
+    assert row.ids_crc32 == zlib.crc32(np.append(ids, 0).astype("<u4").tobytes()) and row.doc_tokens == len(ids) + 1
+    assert packing.packing_digest(docs.limit(0)).count() == 0
+
+
+def test_token_counts_against_brute_force(spark):
+    texts = [None, "", "one two", "one two", "w " * 500, "x" * 3000] + ["tok " * (i % 50) for i in range(200)]
+    docs = spark.createDataFrame([(t, 1) for t in texts], "text string, length int")
+    sizes = np.array([len(x) for x in encode(pa.array(texts, pa.string()), vocabulary_path())])
+    lengths = token_counts.histogram(docs)
+    rows = token_counts.suffix_sums(lengths).collect()
+    assert sorted(r.length for r in rows) == sorted(set(sizes.tolist()))
+    for r in rows:
+        assert r.n_docs == (sizes == r.length).sum() and r.docs_at_least == (sizes >= r.length).sum()
+        assert r.tokens_at_least == sizes[sizes >= r.length].sum() and r.docs_up_to == (sizes <= r.length).sum()
+        assert r.truncated_total == np.minimum(sizes, r.length).sum() and abs(r.share_up_to - (sizes <= r.length).mean()) < 1e-12
+    for r in token_counts.totals(lengths, [0, 10, 10_000]).collect():
+        assert (r.longer_docs, r.truncated_total) == ((sizes > r.limit).sum(), np.minimum(sizes, r.limit).sum())
+        assert (r.n_docs, r.n_tokens) == (len(sizes), sizes.sum())
+    assert token_counts.quantile(token_counts.suffix_sums(lengths), 0.5) == np.sort(sizes)[-(-len(sizes) // 2) - 1]
+    empty = token_counts.histogram(docs.filter(F.lit(False)))
+    assert token_counts.suffix_sums(empty).count() == 0 and token_counts.totals(empty, [5]).first().n_docs == 0
