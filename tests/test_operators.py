@@ -195,3 +195,60 @@ def test_classification_may_be_a_table(spark, make_silver):
         ("A", "ETF", "Energy"), ("B", "STOCK", "Tech (broad)"), ("C", "STOCK", "Tech (broad)")]
     board = views.leaderboard(gold.symbol_summary(features), table)
     assert {r["symbol"]: r["asset_type"] for r in board.collect()}["A"] == "ETF"
+
+
+def _correlation(spark, rows, **options):
+    df = spark.createDataFrame(rows, "symbol string, date date, r double")
+    return {(r["symbol_a"], r["symbol_b"]): r["correlation"]
+            for r in pairwise_correlation(df, "r", **options).collect()}
+
+
+@pytest.mark.parametrize("days", [4096, 16])
+def test_correlation_of_small_moves_on_a_large_level(spark, days):
+    from datetime import timedelta
+
+    rows = [(s, jan(1) + timedelta(n), 1 + k * n * 1e-7) for s, k in (("A", 1), ("B", 2)) for n in range(50)]
+    assert abs(_correlation(spark, rows, days=days)["A", "B"] - 1) < 1e-9
+    rows += [("C", d, 5 - v) for s, d, v in rows if s == "A"]
+    assert abs(_correlation(spark, rows, days=days)["A", "C"] + 1) < 1e-9
+
+
+@pytest.mark.parametrize("days", [4096, 16])
+def test_correlation_is_not_hurt_by_days_the_pair_does_not_share(spark, days):
+    from datetime import timedelta
+
+    rows = [(s, jan(1) + timedelta(n), k * n * 1e-7) for s, k in (("A", 1), ("B", 3)) for n in range(50)]
+    rows += [("A", jan(1) + timedelta(60), 1e9), ("FLAT", jan(1) + timedelta(60), 1.0)]
+    rows += [("FLAT", jan(1) + timedelta(n), 0.1) for n in range(50)]
+    got = _correlation(spark, rows, days=days)
+    assert abs(got["A", "B"] - 1) < 1e-9
+    assert got["B", "FLAT"] is None and got["A", "FLAT"] is not None
+
+
+def test_correlation_of_named_symbols_only(spark):
+    rows = [(s, jan(d), float(d * k % 7)) for s, k in (("A", 1), ("B", 3), ("C", 5)) for d in range(1, 20)]
+    assert _correlation(spark, rows, symbols=["A", "C"]).keys() == {("A", "C")}
+    some, every = _correlation(spark, rows, symbols=["A", "C"]), _correlation(spark, rows, days=5)
+    assert abs(some["A", "C"] - every["A", "C"]) < 1e-12
+
+
+def test_bars_take_any_line_number_and_price(spark, tmp_path):
+    from datetime import datetime
+
+    from tickerloom import bindings
+
+    rows = [  # order, line, dollars
+        (7, 1500, 50.0), (7, 2, 99.0), (7, 1500, -40.0), (8, 1, -99999.99), (8, 9_999_999, 1e11), (6, 3, 4e11), (6, 3, -4e11)]
+    lines = [(o, 1, n, 1.0, p, datetime(2024, 1, 1)) for o, n, p in rows]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, "A")], "p_partkey long, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    (bar,) = bindings.bars(spark, str(tmp_path)).collect()
+    structs = sorted((o, n, round(p * 100)) for o, n, p in rows)
+    assert (bar.open, bar.close) == (structs[0][2], structs[-1][2])
+    assert (bar.high, bar.low) == (max(s[2] for s in structs), min(s[2] for s in structs))
+    for o, n, p in ((10**16, 1, 1.0), (1, 10**7, 1.0), (1, 1, 6e11), (-1, 1, 1.0)):
+        spark.createDataFrame([(o, 1, n, 1.0, p, datetime(2024, 1, 1))], "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp") \
+            .write.mode("overwrite").parquet(str(tmp_path / "lineitem.parquet"))
+        with pytest.raises(Exception, match="out of range|CAST_OVERFLOW|NUMERIC_VALUE_OUT_OF_RANGE"):
+            bindings.bars(spark, str(tmp_path)).collect()

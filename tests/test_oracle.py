@@ -1,14 +1,20 @@
 """Every registered query against its SQL in an independent engine, on whole tables."""
 
 import math
+import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from conftest import TESTDATA
+from tickerloom.oracle import ORACLE
+from tickerloom.registry import QUERIES
 
-TABLES = ["lineitem", "orders", "part", "supplier", "nation"]
+TABLES = ["lineitem", "orders", "part", "supplier", "nation", "region"]
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
     "date": "DATE", "boolean": "BOOLEAN",
@@ -28,13 +34,14 @@ def _key(row):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, duck, name):
-    df = entry.queries()[name](spark, TESTDATA)
-    expected = duck.sql(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, TESTDATA)
+    expected = duck.sql(ORACLE[name])
     columns = sorted(df.columns)
     assert columns == sorted(expected.columns)
     types = dict(zip(expected.columns, map(str, expected.types)))
@@ -53,3 +60,40 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["symbol", "beta", "correlation_to_spy", "naive_alpha"]
     assert df.count() > 0
+
+
+# Leading sort column (descending or not), NULLs last, then the tie columns in ascending order.
+ORDERED = {
+    "sector_comparison": ("date", True, ["symbol"]),
+    "leaderboard": ("return_1m", True, ["symbol"]),
+    "return_correlation": ("correlation", True, ["symbol_a", "symbol_b"]),
+    "capm_beta": ("beta", True, ["symbol"]),
+    "rate_regime": ("symbol", False, ["regime"]),
+    "sector_alpha": ("avg_daily_alpha", True, ["symbol"]),
+    "event_screen": ("volume_rel_20d", True, ["symbol", "date"]),
+    "mean_reversion": ("date", True, ["symbol"]),
+    "tail_risk": ("avg_return_on_bad_market_days", False, ["symbol"]),
+}
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_rows_come_in_order(spark, name):
+    lead, descending, ties = ORDERED[name]
+    rows = QUERIES[name](spark, TESTDATA).collect()
+    known = [r for r in rows if r[lead] is not None]
+    assert rows[:len(known)] == known and len({r[lead] for r in known}) > 1
+    keys = [r[lead] for r in known]
+    assert keys == sorted(keys, reverse=descending)
+    if not any(isinstance(k, float) for k in keys):   # rounded values tie where exact ones did not
+        runs = [[tuple(r[t] for t in ties) for r in known if r[lead] == k] for k in set(keys)]
+        assert all(run == sorted(run) for run in runs)
+
+
+def test_the_rest_works_without_the_llm_folder(tmp_path):
+    home = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(f"{home}/tickerloom", tmp_path / "tickerloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{home}/__spark_entry__.py", tmp_path)
+    names = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(*sorted(e.queries()), sep=',')"],
+        cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
+    assert names.stdout.strip().split(",") == sorted(QUERIES)

@@ -1,6 +1,9 @@
 """Landed documents through silver and gold, in batch and incrementally."""
 
 import json
+import os
+import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -9,7 +12,8 @@ from pyspark.sql import functions as F
 from conftest import as_dicts, jan, rows_of
 from tickerloom import schemas
 from tickerloom.functions import guarded
-from tickerloom.plans import pipeline, views
+from tickerloom.plans import analytics, gold, pipeline, quality, views
+from tickerloom.session import shared_folder
 from tickerloom.settings import DEFAULT_SERIES, DEFAULT_SYMBOLS, Universe, listed
 from tickerloom.sources import bronze, tables
 from tickerloom.streaming.landing import follow_prices
@@ -158,3 +162,135 @@ def test_universe_from_text():
     universe = Universe.from_text("spy", "DGS10, GDP")
     assert universe.symbols == ("spy",) and universe.series == {"DGS10": "treasury10y", "GDP": "GDP"}
     assert universe.macro_columns == [*MACRO, "GDP"]
+
+
+def day_values(*days, volume="100"):
+    return [{"datetime": d, "open": c, "high": c, "low": c, "close": c, "volume": volume} for d, c in days]
+
+
+def landings(folder):
+    """One symbol in several files: two years apart, then a correction of one day; MSFT once."""
+    files = [
+        ("a", {"meta": {"symbol": "AAPL"}, "values": day_values(("2023-01-03", "1"), ("2023-01-04", "2"))}),
+        ("b", {"meta": {"symbol": "AAPL"}, "values": day_values(("2024-01-03", "3"), ("2024-01-04", "4"))}),
+        ("c", {"meta": {"symbol": "MSFT"}, "values": day_values(("2024-01-03", "7"))}),
+        ("0", {"meta": {"symbol": "AAPL"}, "values": day_values(("2023-01-04", "20"), ("2024-01-05", "5"))}),
+    ]
+    folder.mkdir()
+    for n, (name, content) in enumerate(files):
+        (folder / f"{name}.json").write_text(json.dumps(content))
+        os.utime(folder / f"{name}.json", (1_700_000_000 + 60 * n,) * 2)
+    return [("AAPL", "2023-01-03", 1.0), ("AAPL", "2023-01-04", 20.0), ("AAPL", "2024-01-03", 3.0),
+            ("AAPL", "2024-01-04", 4.0), ("AAPL", "2024-01-05", 5.0), ("MSFT", "2024-01-03", 7.0)]
+
+
+def contents(spark, path):
+    rows = tables.scan(spark, path, schemas.silver(MACRO)).collect()
+    return sorted((r.symbol, str(r.date), r.close) for r in rows)
+
+
+@pytest.mark.parametrize("lines", [False, True])
+def test_newest_landing_counts_day_by_day(spark, landed, lines):
+    folder, _ = landed
+    expected = landings(folder / "again")
+    observed = bronze.observations(bronze.macro_documents(spark, str(folder / "macro")))
+    pipeline.run_silver(spark, str(folder / "again"), str(folder / "macro"), str(folder / "job"), Universe(), lines=lines)
+    assert contents(spark, str(folder / "job")) == expected
+    for files in (1, 2, 1000):
+        path = str(folder / f"stream{files}")
+        follow_prices(spark, str(folder / "again"), observed, path, f"{path}-progress", Universe(), lines=lines,
+                      files_per_batch=files).awaitTermination()
+        assert contents(spark, path) == expected
+
+
+def test_rows_repeated_in_one_document_raise(spark, landed):
+    folder, land = landed
+    land("twice", {"meta": {"symbol": "AMD"}, "values": day_values(("2024-01-03", "3"), ("2024-01-03", "4"))})
+    with pytest.raises(tables.DuplicateKeyError, match="AMD"):
+        pipeline.run_silver(spark, str(folder / "prices"), str(folder / "macro"), str(folder / "silver"), Universe())
+    assert not tables.table_exists(spark, str(folder / "silver"))
+
+
+def test_rejected_documents_of_both_kinds_are_counted_and_kept(spark, landed):
+    folder, _ = landed
+    (folder / "macro" / "DGS10.json").write_text('{"observations": [{"date": "2024-')
+    (folder / "macro" / "FEDFUNDS.json").write_text('{"error_code": 400}')
+    report = pipeline.run_silver(spark, str(folder / "prices"), str(folder / "macro"), str(folder / "silver"), Universe())
+    assert [x for x in report if x.startswith("rejected")] == [
+        "rejected_documents(error answer): 1", "rejected_documents(no data): 1", "rejected_documents(unreadable): 1",
+        "rejected_macro_documents(no data): 1", "rejected_macro_documents(unreadable): 1"]
+    observed = bronze.observations(bronze.macro_documents(spark, str(folder / "macro")))
+    follow_prices(spark, str(folder / "prices"), observed, str(folder / "s"), str(folder / "progress")).awaitTermination()
+    kept = spark.read.parquet(str(folder / "s_rejected")).collect()
+    assert sorted(r.reason for r in kept) == ["error answer", "no data", "unreadable"]
+
+
+def test_jobs_leave_no_copies(spark, landed):
+    folder, land = landed
+    staged = f"{shared_folder(spark)}/tickerloom/{spark.sparkContext.applicationId}".removeprefix("file:")
+
+    def copies():
+        return set(os.listdir(staged)) if os.path.isdir(staged) else set()
+
+    before, paths = copies(), [str(folder / name) for name in ("silver", "features", "summary")]
+    pipeline.run_silver(spark, str(folder / "prices"), str(folder / "macro"), paths[0], Universe())
+    pipeline.run_gold(spark, *paths)
+    observed = bronze.observations(bronze.macro_documents(spark, str(folder / "macro")))
+    follow_prices(spark, str(folder / "prices"), observed, str(folder / "s"), str(folder / "progress")).awaitTermination()
+    land("negative", document("AAPL", ["-1"]))
+    os.utime(folder / "prices" / "negative.json", (2_000_000_000,) * 2)
+    with pytest.raises(quality.QualityError):
+        pipeline.run_silver(spark, str(folder / "prices"), str(folder / "macro"), paths[0], Universe(), strict=True)
+    assert copies() == before
+
+
+def test_gold_from_changed_keys_equals_a_full_run(spark, make_silver, tmp_path):
+    rng = random.Random(1)
+
+    def series(symbol, start, days, step=1):
+        return [(symbol, start + timedelta(step * n), float(rng.randrange(50, 150))) for n in range(days)]
+
+    rows = [*series("LONG", date(2020, 1, 1), 1200), *series("SPARSE", date(2015, 1, 1), 400, 9),
+            *series("YOUNG", date(2024, 3, 1), 20), *series("SAME", date(2021, 1, 1), 900), *series("NEW", date(2024, 4, 1), 5)]
+    corrected = {("LONG", date(2022, 6, 1)), ("SPARSE", date(2015, 1, 1) + timedelta(9 * 364))}
+    old = [(s, d, c + 1 if (s, d) in corrected else c)
+           for s, d, c in rows if s != "NEW" and (s != "YOUNG" or d < date(2024, 3, 15))]
+    assert corrected <= {(s, d) for s, d, _ in old}
+    paths = [str(tmp_path / name) for name in ("silver", "features", "summary")]
+    tables.upsert(make_silver(old), paths[0])
+    pipeline.run_gold(spark, *paths)
+
+    def files():
+        return {str(p.relative_to(tmp_path)): p.stat().st_mtime_ns for p in (tmp_path / "features").rglob("*.parquet")}
+
+    before, batch = files(), make_silver(rows)
+    tables.write_snapshot(tables.changed_since(batch, paths[0]), str(tmp_path / "changed"))
+    tables.upsert(batch, paths[0])
+    pipeline.run_gold(spark, *paths, changed=spark.read.parquet(str(tmp_path / "changed")))
+    got, summary = pipeline.gold_tables(spark, paths[1], paths[2])
+    assert rows_of(got) == rows_of(gold.daily_features(make_silver(rows)).select(*got.columns))
+    assert rows_of(summary) == rows_of(gold.symbol_summary(gold.daily_features(make_silver(rows))))
+    kept = {name for name, at in files().items() if before.get(name) == at}
+    assert {re.search(r"year=(\d+)", n)[1] for n in kept} >= {"2015", "2016", "2017", "2018", "2019", "2020", "2021"}
+    assert pipeline.run_gold(spark, *paths, changed=tables.changed_since(batch, paths[0])) == []
+
+
+def partition_filters(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan, re.S)
+
+
+def test_views_and_benchmarks_read_their_directories_only(spark, make_silver, tmp_path):
+    rows = [(s, date(y, 5, d), float(d)) for s in ("AAPL", "SPY", "XLK") for y in range(2018, 2025) for d in (1, 2, 3)]
+    schema = schemas.gold(MACRO)
+    tables.upsert(gold.daily_features(make_silver(rows)), str(tmp_path / "features"))
+    table = tables.Table(spark, str(tmp_path / "features"), schema)
+    recent = views.daily_recent(table, date(2024, 6, 1))
+    assert recent.count() == 3 * 6 and all("year" in f for f in partition_filters(recent))
+    compared = partition_filters(views.sector_comparison(table, as_of=date(2024, 6, 1)))
+    assert len(compared) == 2 and all("year" in f for f in compared) and sum("bucket" in f for f in compared) == 1
+    assert sum("bucket" in f for f in partition_filters(analytics.capm_beta(table))) == 1
+    plain = gold.daily_features(make_silver(rows))
+    for build in (lambda x: views.sector_comparison(x, as_of=date(2024, 6, 1)), analytics.capm_beta, analytics.tail_risk):
+        near = [sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in build(x).collect()) for x in (table, plain)]
+        assert near[0] == near[1]

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .settings import Classification, Roles
 
-# A line's place in its day is (order, line number, price). Packed into one 38-digit decimal it
-# stays in a hash aggregate's fixed-width buffer, where a struct would force a sort of all lines.
-_PRICE_DIGITS = 13
-_LINE_DIGITS = 3
+# A line's place in its day is (order, line number, price). Packed into one 38-digit decimal it stays in
+# a hash aggregate's fixed-width buffer, where a struct would force a sort of all lines. Orders have up
+# to 16 digits, line numbers 7, prices 14 with their sign; anything beyond raises.
+_PRICE_RANGE, _LINE_RANGE, _ORDER_RANGE = 10**14, 10**7, 10**16
+
 
 ROLES = Roles(
     market="Brand#1",
@@ -31,14 +32,22 @@ def _cents() -> Column:
 
 
 def _place() -> Column:
-    order = F.col("l_orderkey").cast("decimal(19,0)")
-    scale = F.lit(10 ** (_LINE_DIGITS + _PRICE_DIGITS)).cast("decimal(17,0)")
-    within = F.col("l_linenumber").cast("bigint") * F.lit(10**_PRICE_DIGITS) + F.col("cents")
-    return order * scale + within.cast("decimal(18,0)")
+    order, line = F.col("l_orderkey"), F.col("l_linenumber").cast("bigint")
+    price = F.col("cents") + F.lit(_PRICE_RANGE // 2)
+    inside = (
+        order.between(0, _ORDER_RANGE - 1) & line.between(0, _LINE_RANGE - 1) & price.between(0, _PRICE_RANGE - 1)
+    )
+    packed = (
+        order.cast("decimal(16,0)") * F.lit(str(_LINE_RANGE * _PRICE_RANGE)).cast("decimal(22,0)")
+        + (line.cast("decimal(7,0)") * F.lit(_PRICE_RANGE).cast("decimal(15,0)") + price.cast("decimal(14,0)"))
+    ).cast("decimal(38,0)")
+    beyond = F.raise_error(F.format_string("line out of range: order %s, line %s, cents %s", order, line, "cents"))
+    known = order.isNotNull() & line.isNotNull() & F.col("cents").isNotNull()
+    return F.when(known & ~inside, beyond.cast("decimal(38,0)")).otherwise(packed)
 
 
 def _price_at(place: Column) -> Column:
-    return (place % F.lit(10**_PRICE_DIGITS).cast("decimal(14,0)")).cast("double")
+    return (place % F.lit(_PRICE_RANGE).cast("decimal(15,0)")).cast("double") - F.lit(float(_PRICE_RANGE // 2))
 
 
 def bars(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
@@ -135,10 +144,15 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def symbols(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All brands, in order; the catalogue of parts has as many as its maker has brands."""
+    return sorted(r[0] for r in _table(spark, sf_dir, "part").select("p_brand").distinct().collect())
+
+
 def land_prices(prices: DataFrame, path: str, batches: int = 2) -> None:
     """Land ``prices`` as documents of one symbol and year; only the last batch has its volumes.
 
-    A document's array is bounded by the days of a year.
+    A document's array is bounded by the days of a year. Batches are landed one after another.
     """
     text = [F.col(c).cast("string").alias(c) for c in ("open", "high", "low", "close")]
     day = F.struct(
@@ -146,14 +160,13 @@ def land_prices(prices: DataFrame, path: str, batches: int = 2) -> None:
         F.when(F.col("batch") == batches, F.col("volume")).otherwise(0).cast("string")
         .alias("volume"),
     )
-    documents = (
-        prices.withColumn("batch", F.explode(F.sequence(F.lit(1), F.lit(batches))))
-        .groupBy("batch", "symbol", F.year("date").alias("year"))
-        .agg(F.collect_list(day).alias("values"))
-    )
-    documents.select("batch", F.struct("symbol").alias("meta"), "values").write.mode(
-        "append"
-    ).partitionBy("batch").json(path)
+    for batch in range(1, batches + 1):
+        documents = (
+            prices.withColumn("batch", F.lit(batch))
+            .groupBy("batch", "symbol", F.year("date").alias("year"))
+            .agg(F.collect_list(day).alias("values"))
+        )
+        documents.select(F.struct("symbol").alias("meta"), "values").write.json(f"{path}/batch={batch}")
 
 
 def land_errors(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -169,6 +182,13 @@ def land_errors(spark: SparkSession, sf_dir: str, path: str) -> None:
     answers.unionByName(broken).write.mode("append").text(f"{path}/batch=1")
 
 
+def land_broken_observations(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Land a cut-off macro document for every region and one without data for every nation."""
+    cut = _table(spark, sf_dir, "region").select(F.concat(F.lit('{"observations": [{"date": "'), F.col("r_name")).alias("value"))
+    empty = _table(spark, sf_dir, "nation").select(F.to_json(F.struct(F.col("n_name").alias("error_message"))).alias("value"))
+    cut.unionByName(empty).write.mode("append").text(f"{path}/series_id=DGS10")
+
+
 def land_observations(grid: DataFrame, path: str) -> None:
     """Land one series and year per document, with "." where the value is missing."""
     value = F.coalesce(F.col("value").cast("string"), F.lit("."))

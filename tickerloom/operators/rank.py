@@ -1,9 +1,12 @@
 """Global RANK without sorting a large table in one task.
 
-A table counted to be small is ranked with a plain window. Beyond that, equal values are first collapsed to one row with a count, which also removes any hot value. The
-distinct values are cut into slices at approximate quantiles. A value's rank is then one plus the
-rows in better slices plus the better rows of its own slice. Cut points only balance the work;
-the rank is exact wherever they fall.
+Equal values are first collapsed to one row with a count, which also removes any hot value. The
+distinct values are dealt to slices by range and kept with their slice. A value's rank is then one
+plus the rows in better slices plus the better rows of its own slice. Where slices end only balances
+the work; the rank is exact wherever that is.
+
+A table counted to be small, such as a snapshot with a row per symbol, is ranked with a plain window
+instead: one task sorts ``ONE_TASK`` rows sooner than the slices are written. Both give the same ranks.
 """
 
 from __future__ import annotations
@@ -13,9 +16,11 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import stage
+
 ONE_TASK = 100_000   # rows that a single task may sort
-PER_SLICE = 1_000_000   # distinct values in a slice, as long as MOST_SLICES allows
-LEAST_SLICES, MOST_SLICES = 64, 4096
+PER_SLICE = 1_000_000   # distinct values in a slice
+LEAST_SLICES = 64
 
 
 class Ranking(NamedTuple):
@@ -49,32 +54,25 @@ def sliced_rank(df: DataFrame, ranking: Ranking, slices: int | None = None) -> D
     value, rank, descending = ranking
     if slices is None:
         distinct = df.agg(F.approx_count_distinct(value)).head()[0]
-        slices = min(max(distinct // PER_SLICE, LEAST_SLICES), MOST_SLICES)
+        slices = max(distinct // PER_SLICE, LEAST_SLICES)
     counts = df.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
-    points = [n / slices for n in range(1, slices)]
-    cuts = counts.agg(F.percentile_approx("_value", points, 50 * MOST_SLICES)).scalar()
-
-    better = F.desc if descending else F.asc
-    above = F.size(F.filter(F.col("_cuts"), lambda cut: cut < F.col("_value")))
-    place = F.when(F.col("_value").isNull(), slices + 1).otherwise(
-        slices - above if descending else above
-    )
-    sliced = (
-        counts.withColumn("_cuts", cuts)
-        .withColumn("_slice", place)
-        .drop("_cuts")
+    better = F.desc_nulls_last if descending else F.asc_nulls_last
+    # Written once: the ends of the ranges are sampled, and both uses below must see the same.
+    sliced = stage(
+        counts.repartitionByRange(slices, better("_value")).withColumn("_slice", F.spark_partition_id()),
+        "slices",
     )
 
     earlier = (Window.unboundedPreceding, -1)
     per_slice = sliced.groupBy("_slice").agg(F.sum("_rows").alias("_slice_rows"))
-    offsets = per_slice.select(   # at most slices + 1 rows
+    offsets = per_slice.select(   # at most a row per slice
         "_slice",
         F.coalesce(
             F.sum("_slice_rows").over(Window.orderBy("_slice").rowsBetween(*earlier)), F.lit(0)
         ).alias("_offset"),
     )
     inside = Window.partitionBy("_slice").orderBy(better("_value")).rowsBetween(*earlier)
-    ranks = sliced.join(F.broadcast(offsets), "_slice").select(
+    ranks = sliced.join(offsets, "_slice").select(
         "_value",
         (F.col("_offset") + F.coalesce(F.sum("_rows").over(inside), F.lit(0)) + 1).alias(rank),
     )

@@ -268,9 +268,21 @@ ORACLE: dict[str, str] = {
     "silver_stream": f"WITH {_SILVER} SELECT * FROM silver",
     "bronze_prices": f"WITH {_BARS} SELECT * FROM bars",
     "bronze_macro": f"WITH {_OBS} SELECT * FROM obs",
-    "bronze_rejected": """SELECT 'error answer' AS reason, '404' AS code,
+    "bronze_rejected": """SELECT 'prices' AS kind, 'error answer' AS reason, '404' AS code,
          'symbol not found: ' || s_name AS message, count(*) AS documents
        FROM supplier GROUP BY s_name
        UNION ALL
-       SELECT 'unreadable', NULL, NULL, count(*) FROM nation HAVING count(*) > 0""",
+       SELECT 'prices', 'unreadable', NULL, NULL, count(*) FROM nation HAVING count(*) > 0
+       UNION ALL
+       SELECT 'macro', 'unreadable', NULL, NULL, count(*) FROM region HAVING count(*) > 0
+       UNION ALL
+       SELECT 'macro', 'no data', NULL, NULL, count(*) FROM nation HAVING count(*) > 0""",
 }
+
+# The views that SQL users query hold what the queries of the same content hold.
+ORACLE |= {f"view_{name}": ORACLE[query] for name, query in {
+    "silver_price_with_macro": "silver_price_with_macro", "gold_daily_features": "daily_features",
+    "gold_symbol_summary": "symbol_summary", "gold_daily_recent": "daily_recent",
+    "gold_sector_comparison": "sector_comparison", "gold_leaderboard": "leaderboard",
+}.items()}
+ORACLE["gold_incremental"] = ORACLE["daily_features"]

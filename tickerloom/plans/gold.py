@@ -12,6 +12,8 @@ from .. import schemas
 from ..functions import technical as ta
 from ..functions.guarded import growth, ratio
 
+LOOK_BACK = 252   # rows before a day that its features can depend on
+
 
 def daily_features(silver: DataFrame) -> DataFrame:
     """Silver's columns followed by the technical and macro features.

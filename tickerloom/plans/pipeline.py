@@ -1,17 +1,20 @@
 """The two jobs: landed documents to silver, silver to gold.
 
-Each job computes its rows once into the shared folder; checks, upsert and snapshot read those.
+Each job computes its rows once into the shared folder; checks, upsert and snapshot read those. The
+copies are deleted when the job ends or fails.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas
-from ..session import stage
+from ..session import Staging
 from ..settings import Universe
 from ..sources import bronze
-from ..sources.tables import BY_SYMBOL, Layout, scan, upsert, upsert_snapshot
+from ..sources.tables import (
+    DAILY, Layout, Table, changed_since, scan, upsert, upsert_snapshot, write_snapshot,
+)
 from . import gold, quality
 from .silver import price_with_macro
 
@@ -22,23 +25,36 @@ def run_silver(
     macro_path: str,
     silver_path: str,
     universe: Universe = Universe(),
-    layout: Layout = BY_SYMBOL,
+    layout: Layout = DAILY,
     lines: bool = False,
     series_pattern: str = bronze.ENTITY_PATTERN,
     strict: bool = False,
+    changes_path: str | None = None,
 ) -> list[str]:
-    """Read, reject, type, join macro, check and upsert silver. Returns the report's lines."""
-    documents, rejected = bronze.price_documents(spark, prices_path, lines)
-    typed = bronze.prices(documents, universe.symbols)
-    # The as-of join reads the observations twice; they are few and parsed once.
-    observed = stage(bronze.observations(
-        bronze.macro_documents(spark, macro_path, lines), list(universe.series), series_pattern
-    ), "observations")
-    silver = stage(price_with_macro(typed, observed, universe.series), "silver")
-    lines_out = [f"rejected_documents({row['reason']}): {row['count']}"
-                 for row in rejected.groupBy("reason").count().collect()]   # at most 3 reasons
-    lines_out += quality.enforce(quality.silver_quality(silver), strict)
-    upsert(silver, silver_path, layout, staged=True)
+    """Read, reject, type, join macro, check and upsert silver. Returns the report's lines.
+
+    Landed text is parsed once, into staged tables from which usable and rejected documents are
+    taken. With ``changes_path`` the keys that are new or have changed are left there, which is what
+    ``run_gold`` needs to recompute no more than it must.
+    """
+    with Staging(spark) as stage:
+        landed = stage(bronze.raw_price_documents(spark.read, prices_path, lines).drop(schemas.CORRUPT), "prices")
+        macro = stage(bronze.macro_documents(spark, macro_path, lines).drop(schemas.CORRUPT), "macro")
+        lines_out = [
+            f"rejected_documents({row['reason']}): {row['count']}"
+            for row in bronze.rejected(landed).groupBy("reason").count().orderBy("reason").collect()   # at most 3 reasons
+        ] + [
+            f"rejected_macro_documents({row['reason']}): {row['count']}"
+            for row in bronze.rejected(macro).groupBy("reason").count().orderBy("reason").collect()
+        ]
+        typed = bronze.newest_prices(bronze.split(landed).good, universe.symbols)
+        observed = bronze.observations(macro, list(universe.series), series_pattern)
+        silver = stage(price_with_macro(typed, observed, universe.series), "silver")
+        checks = quality.silver_quality(silver).collect()   # one row per check
+        lines_out += quality.enforce(checks, strict)
+        if changes_path:
+            write_snapshot(changed_since(silver, silver_path, layout), changes_path)
+        upsert(silver, silver_path, layout, staged=True, unique=quality.unique(checks))
     return lines_out
 
 
@@ -48,24 +64,65 @@ def run_gold(
     features_path: str,
     summary_path: str,
     universe: Universe = Universe(),
-    layout: Layout = BY_SYMBOL,
+    layout: Layout = DAILY,
     strict: bool = False,
+    changed: DataFrame | None = None,
 ) -> list[str]:
-    """Compute, check and upsert the features, then the snapshot. Returns the report's lines."""
-    silver = scan(spark, silver_path, schemas.silver(universe.macro_columns), layout)
-    features = stage(gold.daily_features(silver), "features")
-    lines_out = quality.enforce(quality.gold_quality(features), strict)
-    upsert(features, features_path, layout, staged=True)
-    upsert_snapshot(gold.symbol_summary(features), summary_path)
+    """Compute, check and upsert the features, then the snapshot. Returns the report's lines.
+
+    ``changed`` holds the silver keys that are new or have changed. Only their symbols are recomputed,
+    from each one's first changed day on; directories without such rows keep their files. Without it
+    the whole history is computed.
+    """
+    silver = Table(spark, silver_path, schemas.silver(universe.macro_columns), layout)
+    with Staging(spark) as stage:
+        if changed is None:
+            computed = gold.daily_features(silver.rows())
+        else:
+            first = stage(changed.groupBy("symbol").agg(F.min("date").alias("_first")), "changed")
+            if first.isEmpty():
+                return []
+            computed = _features_from(silver, first)
+        features = stage(computed, "features")
+        checks = quality.gold_quality(features).collect()
+        lines_out = quality.enforce(checks, strict)
+        upsert(features, features_path, layout, staged=True, unique=quality.unique(checks))
+        upsert_snapshot(gold.symbol_summary(features), summary_path)
     return lines_out
 
 
+def _features_from(silver: Table, first: DataFrame) -> DataFrame:
+    """Features of ``first (symbol, _first)`` from each symbol's first changed day on.
+
+    Frames and lags reach ``gold.LOOK_BACK`` rows back. They are sought in the two years before the
+    earliest change; only symbols with fewer rows there have their older rows read as well.
+    """
+    names = silver.schema.names
+    start = F.add_months(F.lit(first.agg(F.min("_first")).first()[0]), -24)
+    recent = _of(silver.rows(since=start), first)
+    short = recent.groupBy("symbol", "_first").agg(F.count_if(F.col("date") < F.col("_first")).alias("_rows"))
+    short = short.filter(F.col("_rows") < gold.LOOK_BACK).select("symbol", "_first")
+    older = _of(silver.rows().filter(F.col("date") < start), short)
+    rows = recent.unionByName(older)
+    earlier = rows.filter(F.col("date") < F.col("_first")).withColumn(
+        "_place", F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("date")))
+    ).filter(F.col("_place") <= gold.LOOK_BACK).drop("_place")
+    needed = rows.filter(F.col("date") >= F.col("_first")).unionByName(earlier)
+    return _of(gold.daily_features(needed.select(*names)), first).filter(F.col("date") >= F.col("_first")).drop("_first")
+
+
+def _of(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """``rows`` of the symbols of ``first``, with the day beside them."""
+    other = first.withColumnRenamed("symbol", "_symbol")
+    return rows.join(other, F.col("symbol").eqNullSafe(F.col("_symbol"))).drop("_symbol")
+
+
 def gold_tables(
     spark: SparkSession,
     features_path: str,
     summary_path: str,
     universe: Universe = Universe(),
-    layout: Layout = BY_SYMBOL,
+    layout: Layout = DAILY,
 ) -> tuple[DataFrame, DataFrame]:
     features = scan(spark, features_path, schemas.gold(universe.macro_columns), layout)
     return features, spark.read.parquet(summary_path)

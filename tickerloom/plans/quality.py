@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..schemas import KEY
 
@@ -103,10 +103,14 @@ class QualityError(RuntimeError):
     """A strict run met a failed check."""
 
 
-def enforce(results: DataFrame, strict: bool = False) -> list[str]:
-    """Lines of the report, one per check; a strict run raises on the first failed suite."""
-    rows = results.collect()   # one row per check
-    lines = [f"{row['check']}: {row['status']}" for row in rows]
-    if strict and not all(row["passed"] for row in rows):
+def enforce(results: list[Row], strict: bool = False) -> list[str]:
+    """Lines of the collected report, one per check; a strict run raises on the first failed suite."""
+    lines = [f"{row['check']}: {row['status']}" for row in results]
+    if strict and not all(row["passed"] for row in results):
         raise QualityError("; ".join(lines))
     return lines
+
+
+def unique(results: list[Row]) -> bool:
+    """Whether the suite found every key once."""
+    return all(row["passed"] for row in results if row["check"] == no_duplicates_in(KEY).name)

@@ -10,6 +10,7 @@ from ..functions import labels
 from ..operators.benchmark import benchmark_by_date, benchmarks_by_date
 from ..operators.rank import Ranking, with_ranks
 from ..settings import DEFAULT_SECTOR, Classification, Roles
+from ..sources.tables import Table, rows_of
 
 _CONTEXT = ["rsi_14", "dist_sma_50", "dist_sma_200", "drawdown_252d"]
 _MACRO = ["cpi", "fedFundsRate", "treasury10y"]
@@ -42,14 +43,18 @@ def classified(df: DataFrame, classes: Classification | DataFrame) -> DataFrame:
     })
 
 
+def _cutoff(as_of: dt.date | Column | None, months: int) -> Column:
+    return F.add_months(_date(as_of), -months)
+
+
 def daily_recent(
-    features: DataFrame,
+    features: DataFrame | Table,
     as_of: dt.date | Column | None = None,
     classes: Classification | DataFrame = Classification(),
     months: int = 24,
 ) -> DataFrame:
     """The last two years before ``as_of`` (today by default) with asset type and sector."""
-    recent = features.filter(F.col("date") >= F.add_months(_date(as_of), -months))
+    recent = rows_of(features, since=_cutoff(as_of, months))
     return classified(recent, classes).select(
         "symbol", "asset_type", "sector", "date", "close", "volume", "return_1d", "return_21d", "vol_ann_21d",
         *_CONTEXT, *_MACRO,
@@ -57,26 +62,28 @@ def daily_recent(
 
 
 def beside_benchmark(
-    features: DataFrame, roles: Roles = Roles(), as_of: dt.date | Column | None = None
+    features: DataFrame | Table, roles: Roles = Roles(), as_of: dt.date | Column | None = None
 ) -> DataFrame:
     """``daily_recent`` next to the sector benchmark's returns; NULL where it has no row.
 
-    One benchmark serves every sector unless ``roles.benchmark_of`` names others.
+    One benchmark serves every sector unless ``roles.benchmark_of`` names others. Of a stored table the
+    benchmarks' directories are read apart, without the others.
     """
     recent = daily_recent(features, as_of, roles.classes)
+    symbols = sorted({roles.sector_benchmark, *roles.benchmark_of.values()})
+    benchmarks = rows_of(features, symbols, _cutoff(as_of, 24))
     columns = {"return_1d": "sector_return_1d", "return_21d": "sector_return_21d"}
     if roles.benchmark_of:
         benchmark = F.lit(roles.sector_benchmark)
         for name, symbol in roles.benchmark_of.items():
             benchmark = F.when(F.col("sector") == name, symbol).otherwise(benchmark)
-        symbols = {roles.sector_benchmark, *roles.benchmark_of.values()}
-        lookup = benchmarks_by_date(recent, sorted(symbols), columns)
+        lookup = benchmarks_by_date(benchmarks, symbols, columns)
         joined = recent.withColumn("benchmark", benchmark).join(
             lookup, ["benchmark", "date"], "left"
         )
     else:
         joined = recent.join(
-            benchmark_by_date(recent, roles.sector_benchmark, columns), "date", "left"
+            benchmark_by_date(benchmarks, roles.sector_benchmark, columns), "date", "left"
         )
     return joined.select(
         "symbol", "asset_type", "sector", "date", "close", "return_1d", "return_21d",
@@ -88,7 +95,7 @@ def beside_benchmark(
 
 
 def sector_comparison(
-    features: DataFrame, roles: Roles = Roles(), as_of: dt.date | Column | None = None
+    features: DataFrame | Table, roles: Roles = Roles(), as_of: dt.date | Column | None = None
 ) -> DataFrame:
     return beside_benchmark(features, roles, as_of).orderBy(F.desc_nulls_last("date"), "symbol")
 
@@ -111,15 +118,15 @@ def leaderboard(
 def register_views(
     spark,
     silver: DataFrame,
-    features: DataFrame,
+    features: DataFrame | Table,
     summary: DataFrame,
     roles: Roles = Roles(),
-    as_of: dt.date | None = None,
+    as_of: dt.date | Column | None = None,
 ) -> None:
     """Register the six views under the names SQL users query."""
     views = {
         "silver_price_with_macro": silver,
-        "gold_daily_features": features,
+        "gold_daily_features": rows_of(features),
         "gold_symbol_summary": summary,
         "gold_daily_recent": daily_recent(features, as_of, roles.classes),
         "gold_sector_comparison": sector_comparison(features, roles, as_of),

@@ -25,26 +25,29 @@ from .streaming.landing import follow_prices
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROLES = bindings.ROLES
-UNIVERSE = Universe(tuple(bindings.BRANDS))
-LAYOUT = tables.Layout(buckets=8, yearly=True)
+UNIVERSE = Universe()   # every landed symbol
+LAYOUT = tables.Layout(buckets=2, yearly=True)
 SERIES_FOLDER = r"series_id=([^/]+)/"
 _stored: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
-def _store(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+def _store(spark: SparkSession, sf_dir: str, name: str, build: Query, layout: tables.Layout | None = None) -> tables.Table:
     """The stored table ``name``, built on first use and again if its folder was cleared."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored or not tables.table_exists(spark, _stored[key][0]):
         df, path = build(spark, sf_dir), scratch_path(spark, name)
-        tables.write_snapshot(df, path)
+        if layout:
+            tables.write_partitioned(df, path, layout)
+        else:
+            tables.write_snapshot(df, path)
         _stored[key] = (path, df.schema)
     path, schema = _stored[key]
-    return spark.read.schema(schema).parquet(path)
+    return tables.Table(spark, path, schema, layout)
 
 
 def macro_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The observations, a small table however many orders they are drawn from."""
-    return _store(spark, sf_dir, "observations", bindings.observations)
+    return _store(spark, sf_dir, "observations", bindings.observations).rows()
 
 
 def silver(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
@@ -57,19 +60,20 @@ def features(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFram
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _store(spark, sf_dir, "silver", silver)
+    return _store(spark, sf_dir, "silver", silver, LAYOUT).rows()
 
 
-def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_table(spark: SparkSession, sf_dir: str) -> tables.Table:
+    """The stored features, laid out as the jobs lay them out."""
     return _store(
-        spark, sf_dir, "gold", lambda *at: gold.daily_features(silver_table(*at))
+        spark, sf_dir, "gold", lambda *at: gold.daily_features(silver_table(*at)), LAYOUT
     )
 
 
 def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(
-        spark, sf_dir, "summary", lambda *at: gold.symbol_summary(gold_table(*at))
-    )
+        spark, sf_dir, "summary", lambda *at: gold.symbol_summary(gold_table(*at).rows())
+    ).rows()
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -89,7 +93,7 @@ def _feature_group(*columns: str) -> Query:
     )
 
 
-def _on_gold(build: Callable[[DataFrame], DataFrame], *inexact: str) -> Query:
+def _on_gold(build: Callable[[tables.Table], DataFrame], *inexact: str) -> Query:
     return lambda spark, sf_dir: rounded(build(gold_table(spark, sf_dir)), *inexact)
 
 
@@ -101,7 +105,7 @@ def macro_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day of every symbol ranked by return, with the rank cut into slices."""
-    rows = gold_table(spark, sf_dir).select("symbol", "date", "return_21d")
+    rows = gold_table(spark, sf_dir).rows().select("symbol", "date", "return_21d")
     ranking = Ranking("return_21d", "rank_return_1m", descending=True)
     return sliced_rank(rows, ranking)
 
@@ -122,7 +126,7 @@ def upsert_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month-old snapshot, then the symbols that traded on the last day."""
-    rows = gold_table(spark, sf_dir)
+    rows = gold_table(spark, sf_dir).rows()
     newest = _newest(rows)
     path = scratch_path(spark, "upsert-summary")
     old = gold.symbol_summary(rows.filter(F.col("date") <= F.add_months(newest, -1)))
@@ -143,7 +147,7 @@ def bronze_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _landing(spark, sf_dir).good
     entity = F.concat_ws("/", F.lower("symbol"), F.substring(F.col("values")[0]["datetime"], 1, 4))
     batch = F.regexp_extract("file_path", r"batch=(\d+)/", 1).cast("int")
-    return bronze.prices(bronze.latest(documents, entity, batch), bindings.BRANDS)
+    return bronze.prices(bronze.latest(documents, entity, batch))
 
 
 def bronze_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,11 +158,12 @@ def bronze_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver job over landed documents, errors and broken files among them."""
+    """The silver job over bars landed twice, errors and broken files among them."""
     root = scratch_path(spark, "silver-job")
-    bindings.land_prices(bindings.bars(spark, sf_dir), f"{root}/prices", batches=1)
+    bindings.land_prices(bindings.bars(spark, sf_dir), f"{root}/prices")
     bindings.land_errors(spark, sf_dir, f"{root}/prices")
     bindings.land_observations(bindings.observation_grid(spark, sf_dir), f"{root}/macro")
+    bindings.land_broken_observations(spark, sf_dir, f"{root}/macro")
     path = f"{root}/silver"
     pipeline.run_silver(
         spark, f"{root}/prices", f"{root}/macro", path, UNIVERSE, LAYOUT, lines=True,
@@ -178,28 +183,68 @@ def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(written, *schemas.VOLATILITY)
 
 
-def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of a history that lacks its last month and is wrong in the one before, brought up to
+    date from the changed keys of a batch that corrects one and adds the other."""
+    root = scratch_path(spark, "gold-incremental")
+    paths = [f"{root}/{name}" for name in ("silver", "features", "summary")]
+    rows = silver_table(spark, sf_dir)
+    newest = _newest(rows)
+    wrong = F.col("date") > F.add_months(newest, -2)
+    history = rows.filter(F.col("date") <= F.add_months(newest, -1)).withColumns({
+        "close": F.when(wrong, F.col("close") + 1).otherwise(F.col("close")),
+        "volume": F.when(wrong, F.col("volume") + 1).otherwise(F.col("volume")),
+    })
+    tables.upsert(history, paths[0], LAYOUT)
+    pipeline.run_gold(spark, *paths, UNIVERSE, LAYOUT)
+    batch = rows.filter(F.col("date") > F.add_months(newest, -3))
+    tables.write_snapshot(tables.changed_since(batch, paths[0], LAYOUT), f"{root}/changed")
+    tables.upsert(batch, paths[0], LAYOUT, staged=True)
+    pipeline.run_gold(spark, *paths, UNIVERSE, LAYOUT, changed=spark.read.parquet(f"{root}/changed"))
+    written, _ = pipeline.gold_tables(spark, paths[1], paths[2], UNIVERSE, LAYOUT)
+    return rounded(written, *schemas.VOLATILITY)
+
+
+def silver_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000) -> DataFrame:
     """Silver from a stream over the landing folder: half the years first, the rest later."""
     root = scratch_path(spark, "silver-stream")
     bars, path = bindings.bars(spark, sf_dir), f"{root}/silver"
-    for part in (F.year("date") < 1998, F.year("date") >= 1998):
-        bindings.land_prices(bars.filter(part), f"{root}/prices", batches=1)
+    for n, part in enumerate((F.year("date") < 1998, F.year("date") >= 1998)):
+        bindings.land_prices(bars.filter(part), f"{root}/prices/part={n}")
         follow_prices(
             spark, f"{root}/prices", macro_table(spark, sf_dir), path, f"{root}/progress",
-            UNIVERSE, LAYOUT, lines=True,
+            UNIVERSE, LAYOUT, lines=True, files_per_batch=files_per_batch,
         ).awaitTermination()
     return tables.scan(spark, path, schemas.silver(UNIVERSE.macro_columns), LAYOUT)
 
 
 def bronze_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = _landing(spark, sf_dir).rejected
-    return rejected.groupBy("reason", "code", "message").agg(F.count(F.lit(1)).alias("documents"))
+    """Rejected documents of both kinds, by reason."""
+    path = scratch_path(spark, "landed-macro")
+    bindings.land_observations(bindings.observation_grid(spark, sf_dir), path)
+    bindings.land_broken_observations(spark, sf_dir, path)
+    macro = bronze.rejected(bronze.macro_documents(spark, path, lines=True))
+    both = _landing(spark, sf_dir).rejected.withColumn("kind", F.lit("prices")).unionByName(
+        macro.withColumn("kind", F.lit("macro")))
+    return both.groupBy("kind", "reason", "code", "message").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def _view(name: str, *inexact: str) -> Query:
+    """One of the views that SQL users query, through ``spark.sql``."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = gold_table(spark, sf_dir)
+        newest = table.rows().agg(F.max("date")).first()[0]
+        views.register_views(
+            spark, silver_table(spark, sf_dir), table, summary_table(spark, sf_dir), ROLES, newest
+        )
+        return rounded(spark.sql(f"SELECT * FROM {name}"), *inexact)
+    return run
 
 
 def _recent(build: Callable, *inexact: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = gold_table(spark, sf_dir)
-        return rounded(build(rows, _newest(rows)), *inexact)
+        table = gold_table(spark, sf_dir)
+        return rounded(build(table, _newest(table.rows())), *inexact)
     return run
 
 
@@ -222,7 +267,7 @@ QUERIES: dict[str, Query] = {
     "daily_features_part": lambda spark, sf_dir: rounded(
         features(spark, sf_dir, "part"), *schemas.VOLATILITY
     ),
-    "symbol_summary": _on_gold(gold.symbol_summary, "vol_ann_1m"),
+    "symbol_summary": _on_gold(lambda g: gold.symbol_summary(g.rows()), "vol_ann_1m"),
     "leaderboard": lambda spark, sf_dir: rounded(
         views.leaderboard(summary_table(spark, sf_dir), ROLES.classes), "vol_ann_1m"
     ),
@@ -248,7 +293,9 @@ QUERIES: dict[str, Query] = {
     "tail_risk": _on_gold(
         lambda g: analytics.tail_risk(g, ROLES.market), "avg_return_on_bad_market_days"
     ),
-    "returns_wide": _on_gold(lambda g: charts.returns_wide(g, bindings.BRANDS)),
+    "returns_wide": lambda spark, sf_dir: charts.returns_wide(
+        gold_table(spark, sf_dir), bindings.symbols(spark, sf_dir)
+    ),
     "correlation_matrix": _on_gold(charts.correlation_matrix, "correlation"),
     "correlation_range": _on_gold(
         charts.correlation_range, "min_correlation", "max_correlation"
@@ -265,11 +312,18 @@ QUERIES: dict[str, Query] = {
     ),
     "silver_quality": lambda spark, sf_dir: quality.silver_quality(bindings.bars(spark, sf_dir)),
     "tick_quality": lambda spark, sf_dir: quality.silver_quality(bindings.ticks(spark, sf_dir)),
-    "gold_quality": _on_gold(quality.gold_quality),
+    "gold_quality": _on_gold(lambda g: quality.gold_quality(g.rows())),
+    "view_silver_price_with_macro": _view("silver_price_with_macro"),
+    "view_gold_daily_features": _view("gold_daily_features", *schemas.VOLATILITY),
+    "view_gold_symbol_summary": _view("gold_symbol_summary", "vol_ann_1m"),
+    "view_gold_daily_recent": _view("gold_daily_recent", "vol_ann_21d"),
+    "view_gold_sector_comparison": _view("gold_sector_comparison", "vol_ann_21d"),
+    "view_gold_leaderboard": _view("gold_leaderboard", "vol_ann_1m"),
     "upsert_daily": upsert_daily,
     "upsert_summary": upsert_summary,
     "silver_job": silver_job,
     "gold_job": gold_job,
+    "gold_incremental": gold_incremental,
     "silver_stream": silver_stream,
     "bronze_prices": bronze_prices,
     "bronze_macro": bronze_macro,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from types import TracebackType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,3 +68,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+class Staging:
+    """``stage`` for the length of a ``with`` block: its copies are deleted at the end, or on an error."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self._spark, name)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(
+        self, kind: type[BaseException] | None, error: BaseException | None, trace: TracebackType | None
+    ) -> None:
+        for path in self._paths:
+            delete(self._spark, path)

@@ -62,10 +62,13 @@ def split(documents: DataFrame) -> Documents:
     good = documents.filter(F.col("reason").isNull()).select(
         F.col("meta.symbol").alias("symbol"), "values", "file_path", "landed_at"
     )
-    rejected = documents.filter(F.col("reason").isNotNull()).select(
-        "reason", "code", "message", "file_path", "landed_at"
-    )
-    return Documents(good, rejected)
+    return Documents(good, rejected(documents))
+
+
+def rejected(documents: DataFrame) -> DataFrame:
+    """What is known of the documents of either kind that cannot be used."""
+    told = [F.col(c) if c in documents.columns else F.lit(None).cast("string").alias(c) for c in ("code", "message")]
+    return documents.filter(F.col("reason").isNotNull()).select("reason", *told, "file_path", "landed_at")
 
 
 def price_documents(spark: SparkSession, path: str, lines: bool = False) -> Documents:
@@ -87,19 +90,41 @@ def latest(documents: DataFrame, entity: Column, landed: Column | None = None) -
 
 def prices(documents: DataFrame, symbols: Sequence[str] | None = None) -> DataFrame:
     """One typed row per symbol and trading day; text that does not parse becomes NULL."""
+    return _typed(documents, symbols).select(*schemas.PRICES.names)
+
+
+def _typed(documents: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
     if symbols is not None:
         documents = documents.filter(F.col("symbol").isin(*symbols))
-    days = documents.select("symbol", F.explode("values").alias("v"))
+    days = documents.select("symbol", F.explode("values").alias("v"), "landed_at", "file_path")
     return days.select(
         "symbol",
         day(F.col("v.datetime")).alias("date"),
         *[number(F.col(f"v.{c}")).alias(c) for c in ("open", "high", "low", "close")],
         whole_number(F.col("v.volume")).alias("volume"),
+        "landed_at", "file_path",
     )
 
 
+def newest_prices(documents: DataFrame, symbols: Sequence[str] | None = None) -> DataFrame:
+    """``prices``, of which the newest landing counts day by day.
+
+    A symbol may be landed many times, whole or in parts. Of every (symbol, date) the rows of the last
+    landed file stay, by landing time and then by path; days that only an older file holds stay too.
+    Rows repeated within that file all stay, for the quality checks to find. Older rows drop out in the
+    scan tasks, before the shuffle.
+    """
+    newest = Window.partitionBy(*schemas.KEY).orderBy(F.desc("landed_at"), F.desc("file_path"))
+    ranked = _typed(documents, symbols).withColumn("_place", F.rank().over(newest))
+    return ranked.filter(F.col("_place") == 1).select(*schemas.PRICES.names)
+
+
 def macro_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    return _json(spark.read, path, schemas.MACRO_DOCUMENT, lines)
+    """Every landed macro document with the reason to reject it, NULL for a usable one."""
+    reason = F.when(F.col(schemas.CORRUPT).isNotNull(), "unreadable").when(
+        F.col("observations").isNull(), "no data"
+    )
+    return _json(spark.read, path, schemas.MACRO_DOCUMENT, lines).withColumn("reason", reason)
 
 
 def observations(
@@ -108,7 +133,8 @@ def observations(
     pattern: str = ENTITY_PATTERN,
 ) -> DataFrame:
     """Long ``(series_id, date, value)`` without the missing-value marker."""
-    named = documents.withColumn("series_id", entity_from_path(pattern))
+    usable = documents.filter(F.col("reason").isNull())
+    named = usable.withColumn("series_id", entity_from_path(pattern))
     if series is not None:
         named = named.filter(F.col("series_id").isin(*series))
     points = named.select("series_id", F.explode("observations").alias("o"))

@@ -1,19 +1,21 @@
 """Silver kept up to date from newly landed price documents only.
 
 The batch job reads every landed document on each run. Here Structured Streaming remembers which
-files it has seen; each micro-batch goes through the same typing, as-of join and upsert. A repeated
-micro-batch changes nothing, because the upsert is idempotent.
+files it has seen; each micro-batch goes through the same rule, typing, as-of join and upsert. A
+repeated micro-batch changes nothing, because the upsert is idempotent.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import schemas
 from ..plans.silver import price_with_macro
+from ..session import Staging
 from ..settings import Universe
 from ..sources import bronze
-from ..sources.tables import BY_SYMBOL, Layout, upsert
+from ..sources.tables import DAILY, Layout, upsert
 
 
 def follow_prices(
@@ -23,24 +25,30 @@ def follow_prices(
     silver_path: str,
     checkpoint: str,
     universe: Universe = Universe(),
-    layout: Layout = BY_SYMBOL,
+    layout: Layout = DAILY,
     lines: bool = False,
     files_per_batch: int = 1000,
+    rejected_path: str | None = None,
 ) -> StreamingQuery:
     """Process all documents not seen before, in bounded micro-batches, then stop.
 
-    The macro ``observations`` are read as they stand; a revision that should reach rows already
-    written takes a run of the batch job. Within a micro-batch the newest landing of a file wins; across micro-batches the later one does.
+    Within a micro-batch the newest landing of every (symbol, date) counts; across micro-batches,
+    which follow landing time, the later one does. So how many files make a micro-batch changes
+    nothing. Rejected documents are written to ``rejected_path``, one folder per micro-batch; by
+    default beside silver. The macro ``observations`` are read as they stand; a revision that should
+    reach rows already written takes a run of the batch job.
     """
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    landed = bronze.raw_price_documents(reader, prices_path, lines)
-
-    def merge(batch: DataFrame, _: int) -> None:
-        documents = bronze.split(batch).good
-        if not lines:
-            documents = bronze.latest(documents, F.lower("symbol"))
-        prices = bronze.prices(documents, universe.symbols)
-        upsert(price_with_macro(prices, observations, universe.series), silver_path, layout)
+    landed = bronze.raw_price_documents(reader, prices_path, lines).drop(schemas.CORRUPT)
+    refused = rejected_path or f"{silver_path.rstrip('/')}_rejected"
+
+    def merge(batch: DataFrame, number: int) -> None:
+        with Staging(batch.sparkSession) as stage:
+            documents = bronze.split(stage(batch, "landed"))
+            documents.rejected.write.mode("overwrite").parquet(f"{refused}/batch={number}")
+            typed = bronze.newest_prices(documents.good, universe.symbols)
+            silver = stage(price_with_macro(typed, observations, universe.series), "silver")
+            upsert(silver, silver_path, layout, staged=True)
 
     return (
         landed.writeStream.foreachBatch(merge)
