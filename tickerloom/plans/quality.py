@@ -103,10 +103,11 @@ class QualityError(RuntimeError):
     """A strict run met a failed check."""
 
 
-def enforce(results: list[Row], strict: bool = False) -> list[str]:
-    """Lines of the collected report, one per check; a strict run raises on the first failed suite."""
-    lines = [f"{row['check']}: {row['status']}" for row in results]
-    if strict and not all(row["passed"] for row in results):
+def enforce(results: DataFrame | list[Row], strict: bool = False) -> list[str]:
+    """Lines of the report, one per check; a strict run raises on the first failed suite."""
+    rows = results.collect() if isinstance(results, DataFrame) else results   # one row per check
+    lines = [f"{row['check']}: {row['status']}" for row in rows]
+    if strict and not all(row["passed"] for row in rows):
         raise QualityError("; ".join(lines))
     return lines
 
