@@ -27,11 +27,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import stage
+from ..session import Staging, stage
 from .components import components
 from .text import blank_separated, flat, map_arrow, mix, slices, words
 
@@ -128,30 +127,58 @@ def _similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= THRESHOLD * (len(x) + len(y) - both)
 
 
-def _settle(group: pd.DataFrame) -> pd.DataFrame:
+def _settle(rows: pa.Table) -> list[tuple[int, int]]:
     """Links that connect groups, among the rows of two blocks of one bucket."""
-    group = group.sort_values("rep", ignore_index=True)
-    first, second = group["i"].iloc[0], group["j"].iloc[0]
-    rows, columns = (np.flatnonzero(group["block"].to_numpy() == b) for b in (first, second))
-    packed = group[[f"s{i}" for i in range(MINIMA // PER_LONG)]].to_numpy(np.int64).view(np.uint64)
-    differing = np.zeros((len(rows), len(columns)), np.int64)
-    for word in range(packed.shape[1]):
-        x = packed[rows, word][:, None] ^ packed[columns, word][None, :]
+    block = rows.column("block").to_numpy()
+    first, second = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+    left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+    differing = np.zeros((len(left), len(right)), np.int64)
+    for i in range(MINIMA // PER_LONG):
+        word = rows.column(f"s{i}").to_numpy().view(np.uint64)
+        x = word[left][:, None] ^ word[right][None, :]
         differing += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555))
     like = (1 - differing / MINIMA - 2.0 ** -BITS) / (1 - 2.0 ** -BITS)
-    labels = group["label"].to_numpy().copy()
-    open_ = (like >= ESTIMATE_FROM) & (labels[rows][:, None] != labels[columns][None, :])
+    reps, labels = rows.column("rep").to_numpy(), rows.column("label").to_numpy().copy()
+    open_ = (like >= ESTIMATE_FROM) & (labels[left][:, None] != labels[right][None, :])
     if first == second:
-        open_ &= rows[:, None] < columns[None, :]
+        open_ &= left[:, None] < right[None, :]
     at = np.argwhere(open_)
     at = at[np.argsort(-like[open_], kind="stable")]
-    sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-    links = []
-    for x, y in zip(rows[at[:, 0]], columns[at[:, 1]]):
-        if labels[x] != labels[y] and _similar(sets[x], sets[y]):
-            links.append((group["rep"][x], group["rep"][y]))
+    sets, links = {}, []
+    for x, y in zip(left[at[:, 0]], right[at[:, 1]]):
+        if labels[x] == labels[y]:
+            continue
+        for k in (x, y):
+            if k not in sets:
+                sets[k] = np.frombuffer(rows.column("shingles")[k].as_py(), np.uint64)
+        if _similar(sets[x], sets[y]):
+            links.append((int(reps[x]), int(reps[y])))
             labels[labels == max(labels[x], labels[y])] = min(labels[x], labels[y])
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    return links
+
+
+def _settle_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Settles one group of rows after another; they come sorted by bucket and pair of blocks."""
+    def settled(tables: list[pa.Table]) -> pa.RecordBatch:
+        links = [x for t in tables for x in _settle(t)]
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        groups = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
+        cuts = [0, *(np.flatnonzero((groups[:, 1:] != groups[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        parts = [pa.Table.from_batches([batch.slice(x, y - x)]) for x, y in zip(cuts, cuts[1:])]
+        if held and [held[0].column(c)[0].as_py() for c in ("key", "i", "j")] != groups[:, 0].tolist():
+            yield settled([pa.concat_tables(held)])
+            held = []
+        if len(parts) > 1:
+            yield settled([pa.concat_tables([*held, parts[0]]), *parts[1:-1]])
+            held = []
+        held.append(parts[-1])
+    if held:
+        yield settled([pa.concat_tables(held)])
 
 
 def estimate(left: str, right: str) -> Column:
@@ -171,7 +198,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(pairs.select("a", "b").join(first, "a").join(second, "b"), _confirm, "a long, b long", rows=256)
 
 
-def links(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, signed: DataFrame, classes: DataFrame, stage: Staging) -> DataFrame:
     """``(node, label)`` of the representatives that are linked with another one."""
     print_of = ["rep", "f1", "f2", "n_shingles"]
     # A representative that stands for several classes (one id, different texts) is searched by one set.
@@ -211,7 +238,8 @@ def links(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
     dealt = doubtful.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     paired = (dealt.join(sets, "rep").select("key", "rep", "label", "block", "sig_x.*", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
               .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}))
-    more = stage(paired.groupBy("key", "i", "j").applyInPandas(_settle, "a long, b long").distinct(), "linked")
+    gathered = paired.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
+    more = stage(map_arrow(gathered, _settle_all, "a long, b long").distinct(), "linked")
     if more.isEmpty():
         return labels
     return components(linked.union(more))
@@ -219,24 +247,26 @@ def links(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
-    signed = stage(signatures(docs), "signatures")
-    own = signed.select("doc_id", "n_shingles", "f1", "f2")
-    sets = own.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    print_of = ["f1", "f2", "n_shingles"]
-    classes = stage(sets.groupBy(*print_of).agg(F.min("doc_id").alias("rep")), "classes")
-    labels = links(docs, signed, classes)
-    # Rows of one class share a label; equal ids of different classes are one vertex too.
-    repeated = sets.groupBy("doc_id").agg(F.min("n_shingles").alias("x"), F.max("n_shingles").alias("y"), F.min("f1").alias("u"), F.max("f1").alias("v")).filter("x <> y or u <> v")
-    if not repeated.isEmpty():
-        same = sets.join(repeated.select("doc_id"), "doc_id").join(classes.select(*print_of, "rep"), print_of)
-        labels = components(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-                            .union(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
-    reps = classes.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
-        *print_of, F.coalesce("label", "rep").alias("label"))
-    joined = own.join(reps, print_of, "left")
-    found = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), found).alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    with Staging(docs.sparkSession) as keep:
+        signed = keep(signatures(docs), "signatures")
+        own = signed.select("doc_id", "n_shingles", "f1", "f2")
+        sets = own.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+        print_of = ["f1", "f2", "n_shingles"]
+        classes = keep(sets.groupBy(*print_of).agg(F.min("doc_id").alias("rep")), "classes")
+        labels = links(docs, signed, classes, keep)
+        # Rows of one class share a label; equal ids of different classes are one vertex too.
+        repeated = sets.groupBy("doc_id").agg(F.min("n_shingles").alias("x"), F.max("n_shingles").alias("y"), F.min("f1").alias("u"), F.max("f1").alias("v")).filter("x <> y or u <> v")
+        if not repeated.isEmpty():
+            same = sets.join(repeated.select("doc_id"), "doc_id").join(classes.select(*print_of, "rep"), print_of)
+            labels = components(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+                                .union(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+        reps = classes.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
+            *print_of, F.coalesce("label", "rep").alias("label"))
+        joined = own.join(reps, print_of, "left")
+        found = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id"))
+        result = joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), found).alias("component_id")).withColumn(
+            "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        return stage(result, "near-duplicates")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
