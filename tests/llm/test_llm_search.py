@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tickerloom.llm import contamination, nearest
-from tests.llm.data import TESTDATA
+from conftest import TESTDATA
 
 
 def exact(rows, asked, k=10):
@@ -132,7 +132,7 @@ def test_bounds_lose_no_passage(spark):
 
 def test_decontamination_cases(spark):
     item = "What does the long river carry to the sea? It carries sand, salt and old stones."
-    near = item.upper().replace(",", " ;").replace("LONG", "WIDE")
+    near = item.upper().replace(",", " ;").replace("STONES", "ROCKS")
     half = "What does the long river carry"
     rows = [(1, f"intro {item} outro"), (2, near), (3, half), (4, None), (5, ""), (6, "word " * 30_000 + item + " word" * 30_000), (1, f"intro {item} outro"),
             (None, item), (7, "It carries sand, salt and old stones.")]
