@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import scratch_path, stage
+from ..session import Staging, delete, scratch_path, stage
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -74,6 +74,14 @@ class LineRuns:
             if len(self.levels[level]) >= self.fanout:
                 runs, self.levels[level] = self.levels[level], []
                 self._write(self.spark.read.parquet(*runs), level + 1)
+                for path in runs:
+                    delete(self.spark, path)
+
+    def close(self) -> None:
+        """Deletes every run."""
+        for path in (p for level in self.levels for p in level):
+            delete(self.spark, path)
+        self.levels = [[]]
 
     def frequent(self, min_docs: int) -> DataFrame | None:
         """Keys of at least ``min_docs`` documents over all runs, and who keeps their lines."""
@@ -86,9 +94,11 @@ class LineRuns:
         return total.filter(F.col("n_docs") >= min_docs).select(*_HASH, "top_doc")
 
 
-def repeats(lines: DataFrame, runs: LineRuns, min_docs: int) -> DataFrame:
-    """``(doc_id, __dropped)``: the positions of a document's lines that do not survive."""
-    frequent = runs.frequent(min_docs)
+def repeats(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``(doc_id, __dropped)``: the positions of a document's lines that do not survive.
+
+    ``frequent`` is a written table, so that a hot line's rows can be split between tasks.
+    """
     lost = lines.hint("merge").join(frequent, _HASH).filter(F.col("doc_id") != F.col("top_doc"))
     return lost.groupBy("doc_id").agg(F.collect_set("pos").alias("__dropped"))
 
@@ -100,11 +110,14 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40,
     ``batches`` runs are written, one after another, before any line is judged, so that the counts
     cover the whole table. Documents are dealt to batches by a hash of their id.
     """
-    lines = stage(line_keys(docs, min_chars), "lines")
-    runs = LineRuns(docs.sparkSession, fanout)
-    for batch in range(batches):
-        runs.add(lines.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == batch))
-    lost = repeats(lines, runs, min_docs).withColumnRenamed("doc_id", "__doc").hint("shuffle_hash")
+    with Staging(docs.sparkSession) as keep:
+        lines = keep(line_keys(docs, min_chars), "lines")
+        runs = LineRuns(docs.sparkSession, fanout)
+        for batch in range(batches):
+            runs.add(lines.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == batch))
+        lost = stage(repeats(lines, keep(runs.frequent(min_docs), "frequent")), "lost")
+        runs.close()
+    lost = lost.withColumnRenamed("doc_id", "__doc").hint("shuffle_hash")
     joined = docs.join(lost, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
     every = lines_of(F.col("text"))
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
