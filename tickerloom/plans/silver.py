@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.asof import join_asof
+from ..schemas import PRICES
 from ..settings import DEFAULT_SERIES, macro_columns
 
 
@@ -15,6 +16,6 @@ def price_with_macro(
     absent = F.lit(None).cast("double")
     known = set(series.values())
     return join_asof(prices, observations, series).select(
-        "symbol", "date", "open", "high", "low", "close", "volume",
+        *PRICES.names,
         *[name if name in known else absent.alias(name) for name in macro_columns(series)],
     )

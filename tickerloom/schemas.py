@@ -44,6 +44,7 @@ OBSERVATIONS = T.StructType([
     *_doubles("value"),
 ])
 
+# The names and order of the feature columns.
 RETURNS = ["return_1d", "return_5d", "return_21d", "return_63d"]
 TREND = ["sma_20", "sma_50", "sma_200", "dist_sma_20", "dist_sma_50", "dist_sma_200"]
 VOLATILITY = ["vol_21d", "vol_63d", "vol_ann_21d"]
