@@ -202,7 +202,10 @@ def nearest(embeddings: DataFrame, query: Column, k: int = 10) -> DataFrame:
                .groupBy("dim", "block").applyInPandas(_block, "dim int, block int, queries binary, points binary"))
     every = blocked.join(graphs.select("dim", "shard"), "dim")  # the stated queries, block by block, to every shard
     pairs = every.join(graphs, ["dim", "shard"])
-    hits = stage(map_arrow(pairs, _answer(k), "query_id long, rep long, score double", rows=4), "hits")
+    rows_a_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = embeddings.sparkSession.conf.get(rows_a_batch)
+    hits = stage(map_arrow(pairs, _answer(k), "query_id long, rep long, score double", rows=4), "hits")  # a row holds a shard
+    embeddings.sparkSession.conf.set(rows_a_batch, usual)
     found = (hits.join(nodes.select("rep", "members"), "rep").select("query_id", F.explode("members").alias("vec_id"), "score")
              .filter("vec_id <> query_id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
