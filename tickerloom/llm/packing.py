@@ -1,8 +1,8 @@
 """Packing token streams into windows of equal capacity by multiway differencing.
 
 Every document's ids end with an end mark. Whole windows are cut off its front; what remains is cut
-into at most ``shares`` pieces of a size that Karmarkar-Karp can balance. Pieces of a scan task are
-packed in blocks of ``block`` pieces: each piece starts as a partition with one filled window, the two
+into pieces of ``piece`` tokens and a shorter last one, which give Karmarkar-Karp both coarse and fine
+sizes to balance. Pieces of a scan task are packed in blocks of ``block`` pieces: each piece starts as a partition with one filled window, the two
 partitions with the largest imbalance are merged again and again, the fullest windows of one with the
 emptiest of the other, until one partition is left. If its fullest window exceeds the capacity the
 block is packed anew with one more window.
@@ -82,10 +82,10 @@ def pack_block(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
 
 
 def cuts(tokens: int, capacity: int, piece: int) -> list[int]:
-    """Lengths of a document's pieces: whole windows, then nearly equal shares of the rest."""
+    """Lengths of a document's pieces: whole windows, then pieces of ``piece`` and what is left."""
     full, rest = divmod(tokens, capacity)
-    shares = -(-rest // piece)
-    return [capacity] * full + [rest // shares + (i < rest % shares) for i in range(shares)]
+    whole, left = divmod(rest, piece)
+    return [capacity] * full + [piece] * whole + [left] * (left > 0)
 
 
 def _pack(vocabulary: str | None, capacity: int, piece: int, block: int):
@@ -137,7 +137,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = 1024, piece: int = 200,
+def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = 1024, piece: int = 256,
          block: int = 2048) -> DataFrame:
     """One row per piece, with its ids as little-endian unsigned 32-bit values."""
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text"))
