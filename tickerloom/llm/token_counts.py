@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import stage
 from .encoding import SLICE_BYTES, encode, vocabulary_path
 from .text import map_arrow, slices
 
@@ -35,9 +36,9 @@ def _lengths(vocabulary: str | None):
 
 
 def histogram(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``length, n_docs``."""
+    """``length, n_docs``, written once: every question is answered from it, not from the texts."""
     counted = map_arrow(docs.select("text"), _lengths(vocabulary), "length long, n long", rows=2000)
-    return counted.groupBy("length").agg(F.sum("n").alias("n_docs"))
+    return stage(counted.groupBy("length").agg(F.sum("n").alias("n_docs")), "histogram")
 
 
 def suffix_sums(lengths: DataFrame) -> DataFrame:
