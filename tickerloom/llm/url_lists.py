@@ -22,6 +22,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import stage
+
 
 def host_of(url: Column) -> Column:
     """The host in lower case, without port or user, or NULL."""
@@ -59,7 +61,8 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     # Queries and fragments do not matter: equal hosts, paths and days are looked up once.
     places = read.filter(F.col("host").isNotNull() & F.col("fetched").isNotNull()).select("host", "path", "fetched").distinct()
     keyed = places.select("host", "path", "fetched", F.explode(patterns_of(F.col("host"), F.col("path"))).alias("pattern"))
-    active = keyed.join(validity(entries), "pattern").filter(
+    # Written first, so that a hot host's rows can be split between tasks of the join.
+    active = keyed.join(stage(validity(entries), "intervals"), "pattern").filter(
         (F.col("fetched") >= F.col("since")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))))
     best = F.min(F.struct((-F.length("pattern")).alias("longest"), "list", "pattern")).alias("best")
     judged = active.groupBy("host", "path", "fetched").agg(F.count("*").alias("n_active"), best)
