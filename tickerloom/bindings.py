@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .session import Staging
 from .settings import Classification, Roles
 
 # A line's place in its day is (order, line number, price). Packed into one 38-digit decimal it stays in
@@ -160,13 +161,15 @@ def land_prices(prices: DataFrame, path: str, batches: int = 2) -> None:
         F.when(F.col("batch") == batches, F.col("volume")).otherwise(0).cast("string")
         .alias("volume"),
     )
-    for batch in range(1, batches + 1):
-        documents = (
-            prices.withColumn("batch", F.lit(batch))
-            .groupBy("batch", "symbol", F.year("date").alias("year"))
-            .agg(F.collect_list(day).alias("values"))
-        )
-        documents.select(F.struct("symbol").alias("meta"), "values").write.json(f"{path}/batch={batch}")
+    with Staging(prices.sparkSession) as stage:
+        prices = stage(prices, "landing") if batches > 1 else prices
+        for batch in range(1, batches + 1):
+            documents = (
+                prices.withColumn("batch", F.lit(batch))
+                .groupBy("batch", "symbol", F.year("date").alias("year"))
+                .agg(F.collect_list(day).alias("values"))
+            )
+            documents.select(F.struct("symbol").alias("meta"), "values").write.json(f"{path}/batch={batch}")
 
 
 def land_errors(spark: SparkSession, sf_dir: str, path: str) -> None:
