@@ -144,3 +144,27 @@ def test_decontamination_cases(spark):
     assert clean.columns == docs.columns and sorted(r.doc_id or 0 for r in clean.collect()) == [0, 3, 4, 5, 7]
     assert contamination.contaminated(docs.limit(0), bench).count() == 0 and contamination.contaminated(docs, bench.limit(0)).count() == 0
     assert contamination.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_one_changed_word_or_a_cut_end_loses_no_item(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    body = rng.sample(vocabulary, 40)
+    items = {1: " ".join(body[:39]) + ". Er.", 2: " ".join(body[:36]) + ". " + " ".join(body[36:]) + ".",
+             3: " ".join(body[:38]) + " 3.14", 4: " ".join(body[:20]), 5: body[0] + "? " + " ".join(body[1:30])}
+    rows, expected = [], set()
+    for i, text in items.items():
+        words = text.split()
+        for at in range(len(words)):
+            copies = [words[:at] + ["changed"] + words[at + 1:], words[:at] + words[at + 1:], words[:at] + ["put", *words[at:]]]
+            for copy in copies:
+                filler = rng.choices(vocabulary[1000:], k=60)
+                rows.append((len(rows), " ".join(filler[:30] + copy + filler[30:])))
+                expected.add((rows[-1][0], i))
+    parts = {i: len(rows) + i for i in (1, 2, 3, 4)}  # two thirds of an item are not the item
+    rows += [(d, " ".join(items[i].split()[: 2 * len(items[i].split()) // 3])) for i, d in parts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for i, text in items.items():
+        bench = spark.createDataFrame([(i, text)], "item_id long, text string")
+        got = {(r.doc_id, r.item_id) for r in contamination.contaminated(docs, bench).collect()}
+        assert got >= {e for e in expected if e[1] == i} and (parts.get(i), i) not in got, i

@@ -11,9 +11,12 @@ small the block is passed over; in the other blocks cursors move to the first it
 can reach the score.
 
 Retrieved items are verified in word order. A word of an item counts as found if it is in a run of
-``WORDS`` item words that the passage has too; three quarters of the question's and half of the
-answer's words must be found. The answer is an item's last sentence (its last quarter, if it has one
-sentence); shorter items use runs as long as they are.
+``WORDS`` item words that the passage has too; at an item's ends shorter runs count, down to one word,
+if they stand within a word of their place beside the found run nearest to them. Three quarters of the
+question's and half of the answer's words must be found. Items have no separate answer, so either an
+item's last sentence or its last quarter may be the answer: a short last sentence is no condition of
+its own, and an item of which seven eighths are found is found. Items shorter than a run use runs as
+long as they are.
 
 Items are indexed in shards of at most ``shard_items`` items and ``shard_words`` words, so what is
 broadcast is bounded however large the benchmark is; each shard is matched against all documents in one narrow pass,
@@ -41,13 +44,13 @@ RARE = 0.04  # a term of at most this share of the items is rare
 SCHEMA = "doc_id long, item_id long, word long, score double, question_overlap double, answer_overlap double"
 _TABLE = alphanumeric()
 _PLACES = mix(np.arange(91, 91 + WORDS, dtype=np.uint64)) | np.uint64(1)
-_SENTENCES = re.compile(r"(?s)(.*[.?!:\n])\s*(\S.*)$")
+_SENTENCES = re.compile(r"(?s)(.*(?:\.(?!\w)|:(?!\d)|[?!\n]))\s*(\S.*)$")
 
 
 class Item(NamedTuple):
     item_id: int
     words: np.ndarray
-    question: int  # how many of the words
+    cuts: tuple[int, ...]  # how many of the words are the question, one number for each reading
 
 
 class Index(NamedTuple):
@@ -71,10 +74,9 @@ def parse_item(item_id: int, text: str | None) -> Item:
     text = (text or "").strip()
     parts = _SENTENCES.match(text)
     own, _ = _words([text.lower()])
+    quarter = len(own) - -(-len(own) // 4)
     question = len(_words([parts[1].lower()])[0]) if parts else 0
-    if not 0 < question < len(own):
-        question = len(own) - -(-len(own) // 4)
-    return Item(item_id, own, question)
+    return Item(item_id, own, (question, quarter) if 0 < question < len(own) and question != quarter else (quarter,))
 
 
 def build_index(items: list[Item]) -> Index:
@@ -148,14 +150,37 @@ def _runs(own: np.ndarray, n: int) -> np.ndarray:
     return total
 
 
-def overlap(item: Item, passage: np.ndarray) -> tuple[float, float]:
-    """The found shares of the item's question and answer."""
-    n = min(WORDS, len(item.words))
-    starts = np.flatnonzero(np.isin(_runs(item.words, n), _runs(passage, n)))
-    found = np.zeros(len(item.words), bool)
+def _ending(own: np.ndarray, passage: np.ndarray, left: int, places: np.ndarray) -> int:
+    """How many last words of an item, fewer than a run, the passage has within a word of their place.
+
+    ``left`` words follow the item's last found run, which ends at ``places`` of the passage.
+    """
+    most = 0
+    for place in places:
+        for end in (place + left - 1, place + left, place + left + 1):
+            k = 0
+            while k < min(WORDS - 1, left) and place <= end - 1 - k < len(passage) and passage[end - 1 - k] == own[-1 - k]:
+                k += 1
+            most = max(most, k)
+    return most
+
+
+def overlap(item: Item, passage: np.ndarray, question: float = 0.75, answer: float = 0.5) -> tuple[float, float]:
+    """The found shares of the item's question and answer, in the reading that comes nearest to what is asked."""
+    own, n = item.words, min(WORDS, len(item.words))
+    runs, there = _runs(own, n), _runs(passage, n)
+    starts = np.flatnonzero(np.isin(runs, there))
+    found = np.zeros(len(own), bool)
     for k in range(n):
         found[starts + k] = True
-    return float(found[:item.question].mean()) if item.question else 1.0, float(found[item.question:].mean())
+    if len(starts):
+        first, last = starts[0], starts[-1]
+        after = _ending(own, passage, len(own) - last - n, np.flatnonzero(there == runs[last]) + n)
+        before = _ending(own[::-1], passage[::-1], first, len(passage) - np.flatnonzero(there == runs[first]))
+        found[len(own) - after:] = True
+        found[:before] = True
+    shares = [(float(found[:c].mean()) if c else 1.0, float(found[c:].mean())) for c in item.cuts]
+    return max(shares, key=lambda s: min(s[0] - question, s[1] - answer))
 
 
 def _passages(offsets: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,7 +218,7 @@ def _search(shared, least: float, question: float, answer: float):
                 able = np.array(blocks)[bounds >= least - 1e-9]
                 for number, score in wand(index, distinct, able, least):
                     item = index.items[number]
-                    q, a = overlap(item, hashes[first[p]:end[p]])
+                    q, a = overlap(item, hashes[first[p]:end[p]], question, answer)
                     best = rows.get((doc[p], number))
                     if q >= question and a >= answer and (best is None or best[4:] < (q, a)):
                         rows[doc[p], number] = (ids[doc[p]], item.item_id, int(first[p] - offsets[doc[p]]), min(score, 1.0), q, a)
