@@ -64,6 +64,33 @@ def test_language_held_out_accuracy(spark):
     assert (held.lang == held.lang_pred).mean() >= 0.99 and not got.rejected.any()
 
 
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu "
+    "braterstwa. Każdy człowiek posiada wszystkie prawa i wolności zawarte w niniejszej deklaracji bez względu na różnice rasy, koloru, płci, języka i wyznania.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan "
+    "veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin ja vapauksiin ilman minkäänlaista erotusta.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. "
+    "Herkes, ırk, renk, cinsiyet, dil, din, siyasal veya diğer herhangi bir akide farkı gözetilmeksizin bu haklardan ve bütün hürriyetlerden istifade edebilir.",
+    "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri, hivyo yapasa watendeane kindugu. Kila mtu anastahili kuwa na haki zote "
+    "na uhuru wote ambao umeelezwa katika taarifa hii bila ubaguzi wa aina yoyote.",
+]
+
+
+def test_long_texts_of_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    junk = "".join(np.random.default_rng(0).choice(list("abcdefghijklmnopqrstuvwxyz"), 4000))
+    known = ["Avec.", "A.", "Come here!", "COME HERE, ALL OF YOU!", "ja ja", "the hill " * 3000, "Alle Menschen sind frei und gleich an Würde und Rechten geboren.",
+             "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood."]
+    new = [(10**12 + i, t) for i, t in enumerate([*FOREIGN, junk, *known])]
+    asked = spark.createDataFrame(new, "doc_id long, text string")
+    model = language.fit(language.learning_rows(docs))
+    got = {r.row - 10**12: r.rejected for r in language.predict(asked, model, F.col("doc_id"), "long").collect()}
+    assert [got[i] for i in range(len(new))] == [True] * 5 + [False] * len(known)
+    both = docs.select("doc_id", "text", "lang").unionByName(asked.withColumn("lang", F.lit(None).cast("string")))
+    kept = {r.doc_id for r in language.keep_identified(both).filter(F.col("doc_id") >= 10**12).select("doc_id").collect()}
+    assert kept == {d for d, _ in new[5:]}
+
+
 def test_toxicity_cases(spark):
     rng = np.random.default_rng(0)
     vocabulary = [f"word{i}" for i in range(200)]

@@ -6,8 +6,13 @@ frequencies are counted over all learning rows. Every language is described by s
 clustered from about ``sample`` of its learning rows (a documented bound on the fit; rows are drawn by
 a hash of their id). A text takes the language of the centroid with the largest cosine.
 
-Rejection is by distance: a text whose cosine to its nearest centroid is below ``reject_below`` is in no
-known language. Texts of a single word of a known language reach 0.2, texts in other scripts 0.02.
+Rejection is by distance. Cosines grow with what a text holds, so texts are put in classes by how many
+different features they have, a class per doubling. Each half of a language's drawn rows is measured
+against centroids of the other half; ``SHARE`` of the lowest percentile a class reaches is the least a
+text of that class may have to the language it is nearest to. A class of under ``LEAST_ROWS`` drawn rows
+takes the next smaller one's bound, and ``reject_below`` holds for all. So single words of a known
+language, at 0.2, stay, and texts of a sentence or more in other languages, at 0.13 to 0.18, go. Shorter
+texts of other languages in the same script, and texts of close relatives of a known one, may stay.
 
 The model holds ``languages x clusters x DIMENSIONS`` numbers, whatever the corpus; learning rows reach
 it as sums. Defined cases: NULL text, or a text without a letter, is ``und`` with score 0 and rejected;
@@ -32,12 +37,16 @@ DIMENSIONS = 1 << 13
 CHUNK = 1 << 10  # features in one row of partial sums
 UNKNOWN = "und"
 REJECT_BELOW = 0.08
+SHARE = 1 / 3  # of the lowest percentile of a language's own rows
+LEAST_ROWS = 10  # drawn rows of a class that bound it
+CLASSES = DIMENSIONS.bit_length()
 
 
 class Model(NamedTuple):
     languages: list[str]      # of each centroid
     centroids: np.ndarray     # centroid x feature, unit length
     weights: np.ndarray       # inverse document frequencies
+    least: np.ndarray         # centroid x class of text: the least cosine that is not rejected
 
 
 @functools.cache
@@ -131,13 +140,33 @@ def _cluster(points: np.ndarray, clusters: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def classes_of(table: np.ndarray) -> np.ndarray:
+    """The class of each row of counts: the power of two in its number of different features."""
+    return np.maximum(np.frexp(np.count_nonzero(table, axis=1).astype(np.float64))[1] - 1, 0)
+
+
+def _least(points: np.ndarray, clusters: int) -> np.ndarray:
+    """For every class, the least cosine of a language with the scaled rows ``points``."""
+    own, least = np.zeros(len(points)), np.zeros(CLASSES)
+    if len(points) < 2:
+        return least
+    for h in (0, 1):
+        own[h::2] = (points[h::2] @ _cluster(points[1 - h::2], clusters).T).max(axis=1)
+    classes = classes_of(points)
+    for k in range(CLASSES):
+        reached = own[classes == k]
+        least[k] = SHARE * np.quantile(reached, 0.01) if len(reached) >= LEAST_ROWS else least[k - 1] if k else 0
+    return least
+
+
 def _fit(weights: np.ndarray, clusters: int):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         texts = group.sort_values(["order", "text"])["text"]
         points = np.vstack([_scaled(counts(pa.array(texts.iloc[i:i + 64])) * weights) for i in range(0, len(texts), 64)])
         centres = _cluster(points, clusters)
         return pd.DataFrame({"lang": key[0], "cluster": range(len(centres)),
-                             "centre": [c.astype(np.float32).tobytes() for c in centres]})
+                             "centre": [c.astype(np.float32).tobytes() for c in centres],
+                             "least": [_least(points, clusters).tobytes()] * len(centres)})
 
     return run
 
@@ -154,12 +183,12 @@ def fit(learn: DataFrame, clusters: int = 3, sample: int = 400) -> Model | None:
     drawn = (learn.join(F.broadcast(sizes), "lang")  # a row per language
              .withColumn("order", order).filter(F.col("order") * F.col("size") < sample * (1 << 30)))
     fitted = drawn.select("lang", "order", "text").groupBy("lang").applyInPandas(
-        _fit(weights, clusters), "lang string, cluster int, centre binary")
+        _fit(weights, clusters), "lang string, cluster int, centre binary, least binary")
     found = sorted(fitted.collect(), key=lambda r: (r.lang, r.cluster))
     if not found:
         return None
     centres = np.array([np.frombuffer(r.centre, np.float32) for r in found])
-    return Model([r.lang for r in found], centres, weights)
+    return Model([r.lang for r in found], centres, weights, np.array([np.frombuffer(r.least) for r in found]))
 
 
 def _predict(model, reject_below: float):
@@ -176,7 +205,7 @@ def _predict(model, reject_below: float):
                 for i, k in zip(np.flatnonzero(known), best):
                     langs[i] = fitted.languages[k]
                 scores[known] = np.clip(score, 0, 1)
-                rejected[known] = score < reject_below
+                rejected[known] = score < np.maximum(reject_below, fitted.least[best, classes_of(seen[known])])
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected)], names=["row", "lang_pred", "score", "rejected"])
 
     return run
