@@ -60,6 +60,22 @@ def test_spans_cover_the_assistants_words(spark):
         assert r.text.startswith("<|im_start|>system\ns<|im_end|>\n") and f"user name={r.participant}" not in r.text
 
 
+def test_roles_that_look_alike_are_different_participants(spark):
+    groups = [["李明", "王芳"], ["Анна", "Олег", "user"], ["user 1", "user_1", "user.1", "user_1-757365722031"], [None, "unknown"], ["Ann Lee", "bob"], [None, ""]]
+    rows = [(None if c == 0 else c, t, who, f"{c}.{t}") for c, names in enumerate(groups) for t, who in enumerate(["system", *names, *names])]
+    got = chat.perspectives(spark.createDataFrame(rows, TURNS)).collect()
+    for c, names in enumerate(groups):
+        own = [r for r in got if (r.conv_id or 0) == c]
+        people = list(dict.fromkeys(n or "" for n in names))
+        assert len(own) == len({r.participant for r in own}) == len(people)
+        said = sorted(tuple(r.text[s.start:s.end] for s in r.spans) for r in own)
+        assert said == sorted(tuple(f"{c}.{t}<|im_end|>" for t, w in enumerate(["system", *names, *names]) if t and (w or "") == n) for n in people)
+        for r in own:
+            users = re.findall("user name=(.*)", r.text)
+            assert set(users) == {o.participant for o in own} - {r.participant} and all(re.fullmatch("[A-Za-z0-9_-]+", u) for u in users)
+    assert {r.participant for r in got if r.conv_id == 4} == {"Ann_Lee", "bob"} and {r.participant for r in got if r.conv_id == 5} == {"unknown"}
+
+
 def entry(name, pattern, day, added=True):
     return (name, pattern, None if day is None else DAY + dt.timedelta(day), added)
 

@@ -11,8 +11,10 @@ come from sums over parts. Spans count code points from the start of the whole d
 
 Defined cases: a turn delivered twice, equal in all four columns, counts once; turns of one number are
 ordered by role and text, NULL first; a NULL turn number comes first; NULL text is empty; a NULL or empty
-role is the participant ``unknown``; characters outside ``A-Za-z0-9_-`` in a name become ``_``, and
-roles that become alike are one participant; ``<|`` in a text is broken up as ``< |``; a conversation
+role is the participant ``unknown``; participants are told apart by their role as it is. In their names
+characters outside ``A-Za-z0-9_-`` become ``_``; in a conversation in which roles become alike that way,
+changed names, and names that look like it, end in ``-`` and the role's bytes in hexadecimal digits, so
+names are as different as roles. ``<|`` in a text is broken up as ``< |``; a conversation
 of system turns only gives no rows; a NULL ``conv_id`` is a conversation like any other; other columns
 take no part; an empty table gives no rows.
 """
@@ -25,16 +27,30 @@ PART = 64
 SYSTEM = "system"
 
 
-def _name(role: Column) -> Column:
-    named = F.when(role.isNull() | (role == ""), F.lit("unknown")).otherwise(role)
-    return F.regexp_replace(named, "[^A-Za-z0-9_-]", "_")
+def _plain(role: Column) -> Column:
+    return F.when(role == "", F.lit("unknown")).otherwise(F.regexp_replace(role, "[^A-Za-z0-9_-]", "_"))
+
+
+def _name(role: Column, alike: Column) -> Column:
+    """The rendered name of a role that is not NULL; ``alike``: plain names are not enough in its conversation."""
+    plain = _plain(role)
+    return F.when(alike & ((plain != role) | plain.rlike("-[0-9A-F]*$")), F.concat(plain, F.lit("-"), F.hex(role))).otherwise(plain)
+
+
+def participants_of(conversations: DataFrame) -> DataFrame:
+    """``__conv, who, alike``: every conversation's roles but ``system``, and whether some of them become alike."""
+    roles = conversations.select(F.col("conv_id").alias("__conv"), F.coalesce("role", F.lit("")).alias("who")).distinct()
+    mixed = (roles.groupBy("__conv", _plain(F.col("who")).alias("plain")).agg(F.count("*").alias("n")).filter("n > 1")
+             .select(F.col("__conv").alias("__mixed"), F.lit(True).alias("alike")).distinct())
+    return (roles.filter(F.col("who") != SYSTEM).join(mixed, F.col("__conv").eqNullSafe(F.col("__mixed")), "left")
+            .select("__conv", "who", F.coalesce("alike", F.lit(False)).alias("alike")))
 
 
 def turns_of(conversations: DataFrame) -> DataFrame:
-    """Distinct turns with their speaker, safe text and part."""
+    """Distinct turns with the role that speaks, safe text and part."""
     distinct = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").distinct()
     return distinct.select(
-        "conv_id", "turn", "role", "text", _name(F.col("role")).alias("speaker"),
+        "conv_id", "turn", "role", "text", F.coalesce("role", F.lit("")).alias("speaker"),
         F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")).alias("said"),
         F.coalesce(F.floor(F.col("turn") / PART), F.lit(-(1 << 60))).cast("long").alias("part"))
 
@@ -42,12 +58,12 @@ def turns_of(conversations: DataFrame) -> DataFrame:
 def perspectives(conversations: DataFrame) -> DataFrame:
     """``conv_id, participant, part, n_turns, char_start, text, spans`` for every participant."""
     turns = turns_of(conversations)
-    speakers = turns.filter(F.col("speaker") != SYSTEM).select(F.col("conv_id").alias("__conv"), F.col("speaker").alias("participant")).distinct()
-    rotated = turns.join(speakers, F.col("conv_id").eqNullSafe(F.col("__conv")))
-    own = F.col("speaker") == F.col("participant")
+    rotated = turns.join(participants_of(conversations), F.col("conv_id").eqNullSafe(F.col("__conv"))).withColumn(
+        "participant", _name(F.col("who"), F.col("alike")))
+    own = F.col("speaker") == F.col("who")
     header = (F.when(F.col("speaker") == SYSTEM, F.lit("<|im_start|>system\n"))
               .when(own, F.lit("<|im_start|>assistant\n"))
-              .otherwise(F.concat(F.lit("<|im_start|>user name="), "speaker", F.lit("\n"))))
+              .otherwise(F.concat(F.lit("<|im_start|>user name="), _name(F.col("speaker"), F.col("alike")), F.lit("\n"))))
     segments = rotated.select(
         "conv_id", "participant", "part", "turn", "role", F.col("text").alias("raw"), own.alias("own"),
         F.char_length(header).alias("skip"), F.concat(header, "said", F.lit("<|im_end|>\n")).alias("segment"),
