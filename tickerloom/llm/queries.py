@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, contamination, language, line_runs, near_dup, nearest, packing, token_counts, toxicity, url_lists
+from . import (
+    chat, contamination, divergence, language, line_runs, mixing, near_dup, nearest, packing, spelling, token_counts, toxicity, url_lists,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +68,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.filter_captures(url_lists.captures_of(pages), url_lists.entries_of(pages))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the others of its language, and the terms it uses most above the language."""
+    return divergence.divergence(_read(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with the near word it is a variant of, and the last of that chain."""
+    return spelling.spelling_groups(_read(spark, sf_dir, "documents"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix to the sources' targets takes."""
+    return mixing.taken_words(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_nearest": op2_nearest,
@@ -77,10 +94,16 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_mixing": op13_mixing,
 }
 
 ORACLE: dict[str, str] = {
     "op7_chat_format": chat.ORACLE,
     "op8_line_dedup": line_runs.ORACLE,
     "op10_url_filter": url_lists.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
+    "op12_spelling_variants": spelling.ORACLE,
+    "op13_mixing": mixing.ORACLE,
 }
