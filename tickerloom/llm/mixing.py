@@ -5,13 +5,14 @@ NULL last, weigh 3, 1, 2, repeating. They share ``SHARE`` of all sizes by weight
 ``MOST`` times its source's size and the excess is reshared by weight, until none is above. Targets are
 found in rounds of one aggregate over the sources each, in whole numbers.
 
-Every document of a source is expected ``target / source_size`` times. The documents of a source stand
-in order of size; prefix sums of the expected copies, plus one offset drawn per source, cross a whole number
-once per copy. So a document is taken as often as its expectation rounded down or up, and since sizes
-rise along the order, a source's taken words miss its target by about its largest document at most.
+Every document of a source is expected ``target / source_size`` times. Prefix sums of the expected
+copies, plus one offset drawn per source, cross a whole number once per copy, so a document is taken as
+often as its expectation rounded down or up. Documents stand in order of size up and down again, every
+second one on the way up and the others on the way down: whatever the offset gives away on one side it gains
+on the other, and a source's taken words miss its target by less than its largest document or so.
 Expected copies are whole multiples of ``2^-24``, offsets come from a hash of the source: reruns agree.
 
-A place in that order is found without gathering a source in one task: rows are dealt in ranges of the whole
+A document's rank by size is found without gathering a source in one task: rows are dealt in ranges of the whole
 order, numbered within their range, and moved on by the number of the source's rows in earlier ranges. The
 sources themselves are numbered in the same way. A hot source or size is cut into as many ranges as it fills.
 
@@ -61,11 +62,11 @@ def placed(rows: DataFrame, group: list[str], order: list[Column], keep: Staging
 
 
 def targets(sizes: DataFrame, keep: Staging) -> DataFrame:
-    """``(source, source_size, target, step, offset)`` of rows ``(source, size)``; step and offset in units."""
-    totals = keep(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "totals")
+    """``(source, documents, source_size, target, step, offset)`` of rows ``(source, size)``; step and offset in units."""
+    totals = keep(sizes.groupBy("source").agg(F.count("*").alias("documents"), F.sum("size").alias("source_size")), "totals")
     ranked = placed(totals.withColumn("every", F.lit(0)), ["every"], [F.col("source").asc_nulls_last()], keep, "sources")
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("place") % len(WEIGHTS) + 1).cast("int"))
-    weighed = keep(ranked.select("source", F.col("source_size").cast("decimal(20, 0)").alias("source_size"), weight.cast("long").alias("weight")), "weighed")
+    weighed = keep(ranked.select("source", "documents", F.col("source_size").cast("decimal(20, 0)").alias("source_size"), weight.cast("long").alias("weight")), "weighed")
     whole = weighed.agg(F.sum("source_size")).first()[0] or 0
     # The level: what a unit of weight gets is left / (SHARE[1] * open). It rises until no open source is above its most.
     left, open_ = 0, 0
@@ -81,7 +82,7 @@ def targets(sizes: DataFrame, keep: Staging) -> DataFrame:
     target = F.when(above, (MOST * size).cast("double")).otherwise(share)
     step = F.when(size > 0, F.least(F.floor(target / size * UNIT), F.lit(MOST * UNIT))).otherwise(0)
     drawn = F.conv(F.substring(F.md5(F.coalesce("source", F.lit("")).cast("binary")), 1, 6), 16, 10)
-    return weighed.select("source", size.alias("source_size"), target.alias("target"), step.cast("long").alias("step"), drawn.cast("long").alias("offset"))
+    return weighed.select("source", "documents", size.alias("source_size"), target.alias("target"), step.cast("long").alias("step"), drawn.cast("long").alias("offset"))
 
 
 def sampled(docs: DataFrame, columns: list[str], keep: Staging) -> DataFrame:
@@ -92,8 +93,10 @@ def sampled(docs: DataFrame, columns: list[str], keep: Staging) -> DataFrame:
     order = [F.col("size").asc(), F.col("tie").asc_nulls_first(), F.col("text_hash").asc()]
     levels = keep(targets(sized.select("source", "size"), keep), "targets").withColumnRenamed("source", "__source")
     counted = placed(sized, ["source"], order, keep, "rows").join(levels, F.col("source").eqNullSafe(F.col("__source")))
+    half = F.shiftright("place", 1)
+    place = F.when(F.col("place") % 2 == 0, half).otherwise(F.col("documents") - 1 - half)
     crossed = lambda place: F.shiftright(place * F.col("step") + F.col("offset"), UNIT.bit_length() - 1)
-    copies = crossed(F.col("place") + 1) - crossed(F.col("place"))
+    copies = crossed(place + 1) - crossed(place)
     return counted.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
 
 
@@ -137,8 +140,10 @@ stepped AS (
     SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size::DOUBLE * 16777216)::BIGINT, 33554432) ELSE 0 END AS step,
            ('0x' || substr(md5(coalesce(source, '')), 1, 6))::BIGINT AS start
     FROM targets),
-placed AS (
-    SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id NULLS FIRST) - 1 AS place FROM sized)
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id NULLS FIRST) - 1 AS rank,
+           count(*) OVER (PARTITION BY source) AS documents FROM sized),
+placed AS (SELECT *, CASE WHEN rank % 2 = 0 THEN rank // 2 ELSE documents - 1 - rank // 2 END AS place FROM ordered)
 SELECT p.doc_id, p.size, t.source_size, t.target,
        ((((place + 1) * step + start) >> 24) - ((place * step + start) >> 24)) * p.size AS taken
 FROM placed p JOIN stepped t ON p.source IS NOT DISTINCT FROM t.source
