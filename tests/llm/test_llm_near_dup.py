@@ -62,7 +62,44 @@ def test_cases(spark):
     assert sorted(map(repr, near_dup.near_duplicates(docs).collect())) == sorted([
         "Row(doc_id=None, n_shingles=2, component_id=None, kept=True)", "Row(doc_id=1, n_shingles=2, component_id=1, kept=True)"])
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0
-    assert near_dup.keep_one_of_each(docs).count() == 2
+    assert near_dup.keep_one_of_each(docs).collect() == [(1, "a b c d e f")]
+
+
+def test_one_row_of_each_group_stays_whatever_its_ids(spark):
+    rng = random.Random(8)
+    texts = [" ".join(prose(rng, 40)) for _ in range(20)]
+    near = " ".join(edited(rng, texts[0].split(), 0.01))
+    rows = [(i if named else None, t, "x", i) for i, t in enumerate(texts) for named in (True, True, False, False)]
+    rows += [(None, near, "y", 1), (None, "only here without an id", "y", 2), (None, "only here without an id", "y", 3)]
+    rows += [(50, None, "e", 1), (50, None, "e", 1), (None, "  ", "e", 2), (51, "", "e", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id_hash string, text_hash int")
+    kept = near_dup.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted([tuple(r) for r in kept.collect()], key=repr)
+    wordless = [r for r in rows if not (r[1] or "").strip()]
+    assert [r for r in got if not (r[1] or "").strip()] == sorted(wordless, key=repr)
+    assert sorted((r[0], r[1]) for r in got if r[0] is not None and r[1]) == sorted(enumerate(texts))
+    assert [r[1] for r in got if r[0] is None and (r[1] or "").strip()] == ["only here without an id"]
+    assert near_dup.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def test_an_id_of_several_texts_is_linked_by_each_of_them(spark):
+    rng = random.Random(9)
+    for _ in range(4):
+        one, other = prose(rng, 60), prose(rng, 60)
+        near = [*other[:30], "changed", *other[31:]]
+        rows = [(1, " ".join(one)), (1, " ".join(other)), (2, " ".join(near)), (3, " ".join(prose(rng, 60)))]
+        assert [(r[0], r[2]) for r in run(spark, rows)] == [(1, 1), (1, 1), (2, 1), (3, 3)]
+
+
+def test_brute_force_with_ids_of_several_texts(spark):
+    rng = random.Random(10)
+    bases = [prose(rng, 80) for _ in range(12)]
+    rows = [(rng.randrange(25), " ".join(edited(rng, rng.choice(bases), rng.choice([0, 0.01, 0.02])))) for _ in range(60)]
+    sets = [sets_of(t) for _, t in rows]
+    links = [(rows[i][0], rows[j][0]) for i in range(60) for j in range(60) if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    found = union(links, {d for d, _ in rows})
+    assert run(spark, rows) == sorted((d, len(s), found[d], found[d] == d) for (d, _), s in zip(rows, sets))
 
 
 def test_brute_force_with_copies_chains_and_a_hot_group(spark):

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tickerloom.llm import contamination, nearest
@@ -56,15 +57,69 @@ def test_recall_on_the_test_table(spark):
 def test_graph_recall_on_clustered_points():
     rng = np.random.default_rng(2)
     points = (rng.normal(size=(40, 32))[rng.integers(0, 40, 3000)] * 3 + rng.normal(size=(3000, 32))).astype(np.float32)
-    graph, entry = nearest.build_graph(points)
+    graph, entries = nearest.build_graph(points)
     assert (graph >= 0).any(axis=1).all() and not (graph == np.arange(3000)[:, None]).any()
     queries = points[::50]
-    found, far = nearest.beam_search(points, graph, entry, queries, nearest.SEARCH_BEAM)
+    found, far = nearest.beam_search(points, graph, entries, queries, nearest.SEARCH_BEAM)
     assert (np.diff(far, axis=1) >= 0).all()
     true = ((queries[:, None] - points[None]) ** 2).sum(axis=2).argsort(axis=1)[:, :10]
     assert np.mean([len(set(a) & set(b[:10])) / 10 for a, b in zip(true, found)]) >= 0.9
 
 
+def hard_points(kind):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(900, 24))
+    if kind == "outlier":
+        points[5] = 1e20
+    elif kind == "component":
+        points[7, 3] = 1e9
+    elif kind == "apart":
+        points[::2] += 1e4
+    elif kind == "groups":
+        points += 1e6 * rng.integers(0, 150, size=(900, 1))
+    elif kind == "shifted":
+        points += 1e7
+    return points * {"tiny": 1e-25, "vanishing": 1e-200, "huge": 1e200}.get(kind, 1)
+
+
+@pytest.mark.parametrize("kind", ["outlier", "component", "apart", "groups", "shifted", "tiny", "vanishing", "huge"])
+def test_graph_recall_whatever_the_distances(kind):
+    points = hard_points(kind)
+    graph, entries = nearest.build_graph(points)
+    assert nearest.entries_to(graph, list(entries), np.arange(len(points))) == list(entries)
+    asked = np.append(np.arange(0, 900, 30), [5, 7])
+    found, far = nearest.beam_search(points, graph, entries, points[asked], nearest.SEARCH_BEAM)
+    true = nearest.apart(points, points[asked])
+    assert np.array_equal(far[:, :20], np.take_along_axis(true, found[:, :20], 1))
+    least = np.sort(true, axis=1)[:, 10:11]
+    assert ((far[:, :11] <= least).mean()) >= 0.95
+
+
+def test_outliers_cost_no_answers(spark):
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(hard_points("outlier"))]
+    rows[9] = (9, [1e9, *rows[9][1][1:]])
+    rows += [(2000 + i, [1e300 * (i + 1)] * 24) for i in range(3)] + [(3000, [-1.7e308] * 24)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, expected = answers(frame, F.col("vec_id") % 20 == 0), exact(rows, [i for i, _ in rows if i % 20 == 0])
+    assert got.keys() == expected.keys() and all(len(found) == 10 for found in got.values())
+    ordinary = [q for q in expected if q < 1000]
+    assert sum(len({i for _, i in got[q]} & {i for _, i in expected[q]}) for q in ordinary) >= 0.95 * 10 * len(ordinary)
+
+
+def test_shards_and_blocks_answer_together(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "QUERIES", 7)
+    monkeypatch.setattr(nearest, "BLOCKS", 2)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(hard_points("plain")[:300])] + [(500 + i, [float(i), 1.0]) for i in range(9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for shard_rows in (40, 1000):
+        got = {}
+        for r in nearest.nearest(frame, F.col("vec_id") % 5 == 0, 10, shard_rows).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        expected = exact(rows, [i for i, _ in rows if i % 5 == 0])
+        assert got.keys() == expected.keys()
+        assert sum(len(set(got[q]) & {i for _, i in expected[q]}) / len(expected[q]) for q in expected) >= 0.97 * len(expected)
+
+
 def test_pruning_keeps_near_and_diverse_edges():
     points = np.array([[0, 0], [1, 0], [1.1, 0], [0, 2], [-3, 0]], np.float32)
     kept = nearest.robust_prune(points, np.array([0]), np.array([[4, 2, 1, 3, 0, 2, -1]]), 1.2)[0]
