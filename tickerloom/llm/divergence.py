@@ -167,8 +167,10 @@ def divergence(docs: DataFrame, min_docs: int = 10, top_terms: int = 10) -> Data
         counted = keep(group_terms(named), "counted")
         kept = keep(counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"))
                     .filter(F.col("docs") >= min_docs).drop("docs"), "kept")
-        langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n"))
+        langs = keep(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n")), "langs")
         blocked = kept.join(langs, "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.ceil(F.col("v") / BLOCK)))
+        # Dealt by block in any case: the rows of a language joined by language would otherwise stay together.
+        blocked = blocked.repartition("lang", "block")
         number = F.row_number().over(Window.partitionBy("lang", "block").orderBy("term"))
         terms = keep(blocked.withColumn("id", number), "terms")
         held = keep(counted.select("lang", "source", "term", "n").join(terms, ["lang", "term"]), "held")
