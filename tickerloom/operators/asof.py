@@ -11,7 +11,11 @@ is why it may be broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from datetime import date
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _selected(observations: DataFrame, series: dict[str, str]) -> DataFrame:
@@ -41,13 +45,13 @@ def macro_wide(observations: DataFrame, series: dict[str, str]) -> DataFrame:
     return widen(_selected(observations, series), series)
 
 
-def macro_calendar(observations: DataFrame, series: dict[str, str]) -> DataFrame:
-    """Every day from the first to the last observation with the value known on that day.
+def macro_calendar(observations: DataFrame, series: dict[str, str], end: Column | None = None) -> DataFrame:
+    """Every day from the first to the last observation, or to ``end``, with the value known on that day.
 
     A window partition is one series, at most one row per day after ``known_observations``.
     """
     known = known_observations(observations, series)
-    end = known.agg(F.max("date")).scalar()
+    end = known.agg(F.max("date")).scalar() if end is None else end
     following = F.lead("date").over(Window.partitionBy("series_id").orderBy("date"))
     spans = known.withColumn("until", F.coalesce(F.date_sub(following, 1), end))
     days = spans.select("series_id", F.explode(F.sequence("date", "until")).alias("date"), "value")
@@ -62,3 +66,15 @@ def join_asof(prices: DataFrame, observations: DataFrame, series: dict[str, str]
     placed = prices.select("*", day.alias("_day"))
     joined = placed.join(F.broadcast(calendar), placed["_day"] == calendar["date"], "left")
     return joined.select(*[placed[c] for c in prices.columns], *series.values())
+
+
+def revised_days(old: DataFrame, new: DataFrame, series: dict[str, str]) -> tuple[DataFrame, date | None]:
+    """``(day)`` on which the values known differ between two states of the observations, and the last
+    day of both; the days after that one look up its values."""
+    last = old.select("date").union(new.select("date")).agg(F.max("date")).first()[0]
+    columns = list(series.values())
+    before, after = (macro_calendar(some, series, F.lit(last).cast("date")) for some in (old, new))
+    before = before.select(F.col("date").alias("_date"), *[F.col(c).alias(f"_{c}") for c in columns])
+    both = after.join(before, F.col("date") == F.col("_date"), "full_outer")
+    differ = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return both.filter(differ).select(F.coalesce("date", "_date").alias("day")), last

@@ -285,4 +285,4 @@ ORACLE |= {f"view_{name}": ORACLE[query] for name, query in {
     "gold_symbol_summary": "symbol_summary", "gold_daily_recent": "daily_recent",
     "gold_sector_comparison": "sector_comparison", "gold_leaderboard": "leaderboard",
 }.items()}
-ORACLE["gold_incremental"] = ORACLE["daily_features"]
+ORACLE["gold_incremental"] = ORACLE["gold_stream"] = ORACLE["daily_features"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
@@ -83,14 +83,29 @@ def report(df: DataFrame, unique: KeyCheck, rows: Sequence[RowCheck]) -> DataFra
     )
 
 
-def silver_quality(prices: DataFrame) -> DataFrame:
-    """Checks on the typed prices; the macro columns may be NULL."""
-    return report(prices, no_duplicates_in(KEY), [
+def _price_checks() -> list[RowCheck]:
+    return [
         no_nulls_in([*KEY, *PRICE_COLUMNS]),
         positive_prices(),
         high_greater_or_equal_low(),
         non_negative_volume(),
-    ])
+    ]
+
+
+def silver_quality(prices: DataFrame) -> DataFrame:
+    """Checks on the typed prices; the macro columns may be NULL."""
+    return report(prices, no_duplicates_in(KEY), _price_checks())
+
+
+def judged(prices: DataFrame) -> DataFrame:
+    """``prices`` with the names of the silver checks that a row fails in ``failed_checks``, empty for a good
+    row. All rows of a repeated key fail, since none is known to be the right one."""
+    key = no_duplicates_in(KEY)
+    repeated = prices.groupBy(*KEY).count().filter("count > 1").select(*[F.col(k).alias(f"_{k}") for k in KEY], F.lit(True).alias("_repeated"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY])
+    violations = [(key.name, F.col("_repeated")), *[(c.name, c.violated) for c in _price_checks()]]
+    failed = F.array_compact(F.array(*[F.when(violated, F.lit(name)) for name, violated in violations]))
+    return prices.join(repeated, same, "left").select(*prices.columns, failed.alias("failed_checks"))
 
 
 def gold_quality(features: DataFrame) -> DataFrame:

@@ -184,23 +184,37 @@ def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of a history that lacks its last month and is wrong in the one before, brought up to
-    date from the changed keys of a batch that corrects one and adds the other."""
+    """Features kept up to date from a ledger. A history that lacks its last month and is wrong in the one
+    before is landed and computed; a correction and the rest follow in two silver runs before the next
+    gold run; then both jobs run again with nothing new."""
     root = scratch_path(spark, "gold-incremental")
     paths = [f"{root}/{name}" for name in ("silver", "features", "summary")]
-    rows = silver_table(spark, sf_dir)
+    book = f"{root}/ledger"
+    rows = bindings.bars(spark, sf_dir)
     newest = _newest(rows)
     wrong = F.col("date") > F.add_months(newest, -2)
     history = rows.filter(F.col("date") <= F.add_months(newest, -1)).withColumns({
         "close": F.when(wrong, F.col("close") + 1).otherwise(F.col("close")),
         "volume": F.when(wrong, F.col("volume") + 1).otherwise(F.col("volume")),
     })
-    tables.upsert(history, paths[0], LAYOUT)
-    pipeline.run_gold(spark, *paths, UNIVERSE, LAYOUT)
-    batch = rows.filter(F.col("date") > F.add_months(newest, -3))
-    tables.write_snapshot(tables.changed_since(batch, paths[0], LAYOUT), f"{root}/changed")
-    tables.upsert(batch, paths[0], LAYOUT, staged=True)
-    pipeline.run_gold(spark, *paths, UNIVERSE, LAYOUT, changed=spark.read.parquet(f"{root}/changed"))
+    bindings.land_observations(bindings.observation_grid(spark, sf_dir), f"{root}/macro")
+
+    def follow() -> list[str]:
+        return pipeline.run_silver(
+            spark, f"{root}/prices", f"{root}/macro", paths[0], UNIVERSE, LAYOUT, lines=True,
+            series_pattern=SERIES_FOLDER, ledger_path=book)
+
+    for n, (batch, computed) in enumerate([
+        (history, True),
+        (rows.filter(wrong & (F.col("date") <= F.add_months(newest, -1))), False),
+        (rows.filter(F.col("date") > F.add_months(newest, -1)), True),
+        (None, True),
+    ]):
+        if batch is not None:
+            bindings.land_prices(batch, f"{root}/prices/part={n}")
+        follow()
+        if computed:
+            pipeline.run_gold(spark, *paths, UNIVERSE, LAYOUT, ledger_path=book)
     written, _ = pipeline.gold_tables(spark, paths[1], paths[2], UNIVERSE, LAYOUT)
     return rounded(written, *schemas.VOLATILITY)
 
@@ -218,6 +232,20 @@ def silver_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000)
     return tables.scan(spark, path, schemas.silver(UNIVERSE.macro_columns), LAYOUT)
 
 
+def gold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features that follow a stream: half the years first, the rest after a restart."""
+    root = scratch_path(spark, "gold-stream")
+    bars, gold_paths = bindings.bars(spark, sf_dir), (f"{root}/features", f"{root}/summary")
+    for n, part in enumerate((F.year("date") < 1996, F.year("date") >= 1996)):
+        bindings.land_prices(bars.filter(part), f"{root}/prices/part={n}")
+        follow_prices(
+            spark, f"{root}/prices", macro_table(spark, sf_dir), f"{root}/silver", f"{root}/progress",
+            UNIVERSE, LAYOUT, lines=True, ledger_path=f"{root}/ledger", gold_paths=gold_paths,
+        ).awaitTermination()
+    written, _ = pipeline.gold_tables(spark, *gold_paths, UNIVERSE, LAYOUT)
+    return rounded(written, *schemas.VOLATILITY)
+
+
 def bronze_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected documents of both kinds, by reason."""
     path = scratch_path(spark, "landed-macro")
@@ -325,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "gold_job": gold_job,
     "gold_incremental": gold_incremental,
     "silver_stream": silver_stream,
+    "gold_stream": gold_stream,
     "bronze_prices": bronze_prices,
     "bronze_macro": bronze_macro,
     "bronze_rejected": bronze_rejected,

@@ -70,9 +70,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def delete(spark: SparkSession, path: str) -> None:
+def hadoop(spark: SparkSession, path: str):
+    """The file system that ``path`` is on, and the path as that file system takes it."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, location = hadoop(spark, path)
+    fs.delete(location, True)
 
 
 class Staging:

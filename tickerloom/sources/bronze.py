@@ -6,7 +6,10 @@ holds one series' observations, and only its path says which series it is.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import (
@@ -27,7 +30,7 @@ class Documents(NamedTuple):
     rejected: DataFrame
 
 
-def _json(reader: DataFrameReader | DataStreamReader, path: str, schema: T.StructType, lines: bool):
+def _json(reader: DataFrameReader | DataStreamReader, path: str | list[str], schema: T.StructType, lines: bool):
     """One document per file (pretty-printed or not), or one per line with ``lines``."""
     return (
         reader.schema(schema)
@@ -42,12 +45,36 @@ def _json(reader: DataFrameReader | DataStreamReader, path: str, schema: T.Struc
     )
 
 
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(file_path, landed_at, size)`` of every landed file; nothing is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("path").alias("file_path"), F.col("modificationTime").alias("landed_at"), F.col("length").alias("size"))
+
+
+def to_read(files: DataFrame, known: DataFrame) -> DataFrame:
+    """The files to parse for the same rows as parsing all would give: those not in ``known``, or in it with
+    another time or size, and all that landed at or after the first of them.
+
+    Of a symbol's day the newest landing counts, so a file that turns up late must not win over one that
+    was read before but landed after it. Files usually turn up in order, and then the new ones are all.
+    """
+    columns = files.columns
+    same = reduce(and_, [files[c].eqNullSafe(known[c]) for c in columns])
+    first = files.join(known, same, "left_anti").agg(F.min("landed_at")).first()[0]
+    return files.filter(F.lit(False) if first is None else F.col("landed_at") >= F.lit(first))
+
+
+def literal_path(path: str) -> str:
+    """``path`` with the characters escaped that a reader would take for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def entity_from_path(pattern: str = ENTITY_PATTERN) -> Column:
     return F.regexp_extract("file_path", pattern, 1)
 
 
 def raw_price_documents(
-    reader: DataFrameReader | DataStreamReader, path: str, lines: bool = False
+    reader: DataFrameReader | DataStreamReader, path: str | list[str], lines: bool = False
 ) -> DataFrame:
     """Every landed price document with the reason to reject it, NULL for a usable one."""
     reason = (

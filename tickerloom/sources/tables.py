@@ -23,7 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import KEY
-from ..session import Staging
+from ..session import Staging, hadoop
 
 # Partitions of a batch that are listed in a scan filter. A batch that touches more is about to rewrite
 # much of the table anyway; its target is read through a semi-join, with the same result.
@@ -80,21 +80,16 @@ BY_SYMBOL = Layout()
 DAILY = Layout(buckets=16, yearly=True)
 
 
-def _files(spark: SparkSession, path: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True for a completely written table.
 
     Data without the success marker is somebody else's or a broken first write. It raises, so that
     nothing is overwritten by mistake.
     """
-    fs, location = _files(spark, path)
+    fs, location = hadoop(spark, path)
     if not fs.exists(location):
         return False
-    if fs.exists(_files(spark, f"{path}/_SUCCESS")[1]):
+    if fs.exists(hadoop(spark, f"{path}/_SUCCESS")[1]):
         return True
     visible = [f.getPath().getName() for f in fs.listStatus(location)]
     if any(not name.startswith(("_", ".")) for name in visible):
@@ -109,8 +104,9 @@ def scan(
     layout: Layout | None = DAILY,
     symbols: Sequence[str] | None = None,
     since: dt.date | Column | None = None,
+    until: dt.date | Column | None = None,
 ) -> DataFrame:
-    """Read a table. ``symbols`` prune directories under every layout, ``since`` under a yearly one.
+    """Read a table. ``symbols`` prune directories under every layout, ``since`` and ``until`` under a yearly one.
 
     The explicit schema keeps symbols such as ``007`` text and spares schema inference.
     """
@@ -120,11 +116,12 @@ def scan(
         df = df.filter(F.col("symbol").isin(*symbols))
         if layout and layout.buckets:
             df = df.filter(F.col("bucket").isin(*[layout.bucket(F.lit(s)) for s in symbols]))
-    if since is not None:
-        since = since if isinstance(since, Column) else F.lit(since)
-        df = df.filter(F.col("date") >= since)
-        if layout and layout.yearly:
-            df = df.filter(F.col("year") >= F.year(since))
+    for end, within in ((since, Column.__ge__), (until, Column.__le__)):
+        if end is not None:
+            end = end if isinstance(end, Column) else F.lit(end)
+            df = df.filter(within(F.col("date"), end))
+            if layout and layout.yearly:
+                df = df.filter(within(F.col("year"), F.year(end)))
     return df.select(*schema.names)
 
 
@@ -136,8 +133,13 @@ class Table(NamedTuple):
     schema: T.StructType
     layout: Layout = DAILY
 
-    def rows(self, symbols: Sequence[str] | None = None, since: dt.date | Column | None = None) -> DataFrame:
-        return scan(self.spark, self.path, self.schema, self.layout, symbols, since)
+    def rows(
+        self,
+        symbols: Sequence[str] | None = None,
+        since: dt.date | Column | None = None,
+        until: dt.date | Column | None = None,
+    ) -> DataFrame:
+        return scan(self.spark, self.path, self.schema, self.layout, symbols, since, until)
 
 
 def rows_of(
@@ -206,7 +208,7 @@ def _touched(target: DataFrame, batch: DataFrame, names: Sequence[str]) -> DataF
 
 
 def _remember(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    fs, location = _files(spark, f"{path}/{SCHEMA_FILE}")
+    fs, location = hadoop(spark, f"{path}/{SCHEMA_FILE}")
     out = fs.create(location, True)
     out.write(bytearray(schema.json().encode()))
     out.close()
@@ -214,7 +216,7 @@ def _remember(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 def stored_schema(spark: SparkSession, path: str, without: Sequence[str] = ()) -> T.StructType:
     """The columns of a table, as remembered or else as its files have them."""
-    fs, location = _files(spark, f"{path}/{SCHEMA_FILE}")
+    fs, location = hadoop(spark, f"{path}/{SCHEMA_FILE}")
     if fs.exists(location):
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(location), "UTF-8")
         return T.StructType.fromJson(json.loads(text))
@@ -236,13 +238,13 @@ def _require_columns(stored: T.StructType, batch: T.StructType, add_columns: boo
 
 def _first(spark: SparkSession, path: str, write, schema: T.StructType) -> None:
     """Write beside ``path``, then move there: a first write that dies can simply be run again."""
-    fs, location = _files(spark, path)
+    fs, location = hadoop(spark, path)
     new = f"{path.rstrip('/')}__first"
     write(new)
     _remember(spark, new, schema)
     fs.mkdirs(location.getParent())
     fs.delete(location, True)   # no table: at most an empty folder
-    fs.rename(_files(spark, new)[1], location)
+    fs.rename(hadoop(spark, new)[1], location)
 
 
 def upsert(
@@ -285,30 +287,40 @@ def upsert(
             _remember(spark, path, batch.schema)
 
 
-def changed_since(batch: DataFrame, path: str, layout: Layout = DAILY, key: Sequence[str] = tuple(KEY)) -> DataFrame:
-    """Keys of ``batch`` whose row the table does not hold, or holds with other values."""
+def changed_rows(batch: DataFrame, path: str, layout: Layout = DAILY) -> DataFrame:
+    """Rows of ``batch`` that the table does not hold, or holds with other values.
+
+    An upsert of these alone leaves the table as one of the whole batch would, and every directory
+    without such a row keeps its files.
+    """
     spark = batch.sparkSession
-    keys = batch.select(*key)
     if not table_exists(spark, path):
-        return keys
+        return batch
+    partitioned = [n for n in layout.names if n not in batch.columns]
+    _require_columns(stored_schema(spark, path, partitioned), batch.schema, False, path)
     target = _touched(spark.read.schema(layout.stored(batch.schema)).parquet(path), layout.place(batch), layout.names)
     known = target.select(*batch.columns)
-    return batch.join(known, _same(batch, known, batch.columns), "left_anti").select(*key)
+    return batch.join(known, _same(batch, known, batch.columns), "left_anti")
+
+
+def changed_since(batch: DataFrame, path: str, layout: Layout = DAILY, key: Sequence[str] = tuple(KEY)) -> DataFrame:
+    """Keys of the changed rows."""
+    return changed_rows(batch, path, layout).select(*key)
 
 
 def _swap(spark: SparkSession, new: str, path: str) -> None:
-    fs, location = _files(spark, path)
-    aside = _files(spark, f"{path}__previous")[1]
+    fs, location = hadoop(spark, path)
+    aside = hadoop(spark, f"{path}__previous")[1]
     fs.delete(aside, True)
     fs.rename(location, aside)
-    fs.rename(_files(spark, new)[1], location)
+    fs.rename(hadoop(spark, new)[1], location)
     fs.delete(aside, True)
 
 
 def recover_snapshot(spark: SparkSession, path: str) -> None:
     """Put the previous snapshot back if a run stopped between the two renames of a swap."""
-    fs, location = _files(spark, path)
-    aside = _files(spark, f"{path}__previous")[1]
+    fs, location = hadoop(spark, path)
+    aside = hadoop(spark, f"{path}__previous")[1]
     if fs.exists(aside) and not fs.exists(location):
         fs.rename(aside, location)
 
