@@ -21,8 +21,8 @@ long as they are.
 Items are indexed in shards of at most ``shard_items`` items and ``shard_words`` words, so what is
 broadcast is bounded however large the benchmark is; each shard is matched against all documents in one narrow pass,
 without a shuffle. Defined cases: NULL or empty texts and items match nothing; equal items match each;
-repeated rows are reported each; rows without ``doc_id`` are reported with NULL; other columns take no
-part; an empty table on either side gives no rows.
+repeated rows are reported, and dropped, each; rows without ``doc_id`` are reported with NULL and dropped
+like others; other columns take no part; an empty table on either side gives no rows.
 """
 
 from __future__ import annotations
@@ -259,7 +259,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.5
     return found if found is not None else spark.createDataFrame([], SCHEMA)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents in which a test item is found; all columns as they were."""
-    leaks = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__leak"), "left_anti")
+def _keep_clean(shared, least: float, question: float, answer: float):
+    """Batches without their last column, the text in lower case, and without the rows in which an item is found."""
+    search = _search(shared, least, question, answer)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            places = pa.array(np.arange(batch.num_rows))
+            probe = pa.RecordBatch.from_arrays([places, batch.column(batch.num_columns - 1)], names=["doc_id", "text"])
+            clean = np.ones(batch.num_rows, bool)
+            for found in search(iter([probe])):
+                clean[found.column("doc_id").to_numpy()] = False
+            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(clean))
+
+    return run
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.5, question: float = 0.75,
+                      answer: float = 0.5, shard_items: int = 20_000, shard_words: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows in which a test item is found, judged one by one, with an id or without;
+    all columns as they were. What one shard leaves goes on to the next, without a shuffle."""
+    left = docs
+    for index in shards(benchmark, shard_items, shard_words):
+        if index.items:
+            shared = docs.sparkSession.sparkContext.broadcast(index)
+            lowered = left.select(*[F.col(f"`{c}`") for c in docs.columns], F.lower("text").alias("__lowered"))
+            left = map_arrow(lowered, _keep_clean(shared, least_score, question, answer), docs.schema)
+    return left

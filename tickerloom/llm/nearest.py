@@ -40,6 +40,7 @@ TASKS = 20_000  # at most, of a search
 DEGREE, ALPHA = 24, 1.2
 BEAM, SEARCH_BEAM = 64, 128  # of building and of answering
 SAFE = 1e-140, 1e140  # distances whose squares neither vanish nor overflow
+LARGEST = np.finfo(np.float64).max
 CELLS = 1 << 22  # numbers held at a time where many distances are taken
 INDEX = "dim int, shard int, ids binary, vectors binary, graph binary, entries binary"
 
@@ -98,7 +99,8 @@ def beam_search(vectors: np.ndarray, graph: np.ndarray, entries: np.ndarray, que
         all_far = np.concatenate([far[active], distance], axis=1)
         all_nodes = np.concatenate([nodes[active], np.where(usable, onward, -1)], axis=1)
         all_done = np.concatenate([done[active], ~usable], axis=1)
-        order = np.lexsort((all_nodes < 0, all_far), axis=1)[:, :width]
+        # An infinitely far node still comes before no node.
+        order = np.argsort(np.where(all_nodes < 0, np.inf, np.minimum(all_far, LARGEST)), axis=1, kind="stable")[:, :width]
         pick = np.arange(len(active))[:, None]
         far[active], nodes[active], done[active] = all_far[pick, order], all_nodes[pick, order], all_done[pick, order]
 
