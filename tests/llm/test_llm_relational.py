@@ -93,6 +93,13 @@ def test_list_entries_hold_for_their_time(spark):
     none = (0, None, None, False)
     assert got == {0: none, 1: (1, "bad.org", "a", True), 2: (3, "x.bad.org/p/q", "a", True), 3: (1, "bad.org", "b", True), 4: (1, "bad.org", "b", True), 5: none,
                    6: (2, "bad.org", "a", True), 7: none, 8: none, 9: none, 10: none, 11: none, 12: (1, "x.bad.org/p/q", "a", True), 13: (2, "bad.org", "a", True)}
+    odd = [("Example.ORG", "http://example.org/x", True), ("example.org", "http://www.example.org./", True), ("example.org.", "http://EXAMPLE.org", True),
+           ("example.org/a/", "http://example.org/a/b", True), ("example.org//A", "http://example.org/A", True), ("example.org/A", "http://example.org/a", False),
+           ("[2001:DB8::1]", "http://[2001:db8::1]:80/", True), ("[::1]", "http://[::2]/", False), ("/x", "http://example.org/x", False), (".", "http://./", False)]
+    for pattern, url, blocked in odd:
+        one = spark.createDataFrame([(1, url, DAY)], "page_id long, url string, fetched date")
+        (row,) = url_lists.filter_captures(one, spark.createDataFrame([("l", pattern, DAY, True)], "list string, pattern string, day date, added boolean")).collect()
+        assert row.blocked is blocked, (pattern, url)
     assert not any(r.blocked for r in url_lists.filter_captures(frame, lists.limit(0)).collect())
     assert url_lists.filter_captures(frame.limit(0), lists).count() == 0
 

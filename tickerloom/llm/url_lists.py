@@ -9,7 +9,9 @@ each. Only keys, days and list names are shuffled, never pages; a hot host's cap
 per distinct host, path prefix set and day before the join.
 
 A pattern is a host or domain (``example.org`` covers its subdomains) or a host and path prefix
-(``example.org/a/b`` covers everything at and below that path).
+(``example.org/a/b`` covers everything at and below that path). Patterns and URLs are brought to one
+form: hosts in lower case without dots at their end, paths without empty steps or a slash at their end;
+an IPv6 host stands in brackets.
 
 Defined cases: a NULL or unparsable URL or day meets no entry and is not blocked; entries with a NULL
 list, pattern or day are ignored; of several entries of one list, pattern and day a removal counts
@@ -26,9 +28,18 @@ from ..session import stage
 
 
 def host_of(url: Column) -> Column:
-    """The host in lower case, without port or user, or NULL."""
-    found = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    return F.when(found != "", found)
+    """The host in lower case, without port, user or dots at its end, or NULL."""
+    found = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)", 1))
+    bare = F.regexp_replace(found, r"\.+$", "")
+    return F.when(bare != "", bare)
+
+
+def pattern_of(entry: Column) -> Column:
+    """A list entry's pattern in the form of ``patterns_of``; NULL if it has no host."""
+    steps = F.split(entry, "/")
+    host = F.regexp_replace(F.lower(F.get(steps, F.lit(0))), r"\.+$", "")
+    path = F.filter(F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0))), lambda s: s != "")
+    return F.when(host != "", F.array_join(F.concat(F.array(host), path), "/"))
 
 
 def path_of(url: Column) -> Column:
@@ -47,7 +58,8 @@ def patterns_of(host: Column, path: Column) -> Column:
 
 def validity(entries: DataFrame) -> DataFrame:
     """``list, pattern, since, until`` (NULL: still active) from ``list, pattern, day, added``."""
-    known = entries.filter(F.col("list").isNotNull() & F.col("pattern").isNotNull() & F.col("day").isNotNull())
+    formed = entries.select("list", pattern_of(F.col("pattern")).alias("pattern"), "day", "added")
+    known = formed.filter(F.col("list").isNotNull() & F.col("pattern").isNotNull() & F.col("day").isNotNull())
     daily = known.groupBy("list", "pattern", "day").agg(F.max(F.coalesce("added", F.lit(False))).alias("added"))
     following = F.lead("day").over(Window.partitionBy("list", "pattern").orderBy("day"))
     return (daily.withColumn("until", following).filter("added")
@@ -109,7 +121,7 @@ def entries_of(pages: DataFrame) -> DataFrame:
 ORACLE = f"""
 WITH read AS (
     SELECT page_id, url, DATE '{FIRST_DAY}' + (page_id * 37 % {DAYS})::INT AS fetched,
-           nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
+           nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\\[[^\\]/?#]*\\]|[^/?#:]+)', 1)), '\\.+$', ''), '') AS host,
            regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)', 1) AS path
     FROM pages),
 named AS (
