@@ -17,7 +17,9 @@ texts of other languages in the same script, and texts of close relatives of a k
 The model holds ``languages x clusters x DIMENSIONS`` numbers, whatever the corpus; learning rows reach
 it as sums. Defined cases: NULL text, or a text without a letter, is ``und`` with score 0 and rejected;
 rows without language are not learnt from; ties go to the first centroid by language and number; no
-learnable row at all makes every text ``und``; repeated rows and other columns change nothing.
+learnable row at all makes every text ``und``; a repeated row is drawn once and counts each time in the
+document frequencies; other columns change nothing. Of more than ``languages`` different labels, a bound
+on the model, the most frequent are learnt.
 """
 
 from __future__ import annotations
@@ -171,18 +173,18 @@ def _fit(weights: np.ndarray, clusters: int):
     return run
 
 
-def fit(learn: DataFrame, clusters: int = 3, sample: int = 400) -> Model | None:
+def fit(learn: DataFrame, clusters: int = 3, sample: int = 400, languages: int = 1000) -> Model | None:
     """The model of ``learn (key, text, lang)``: rows with a text and a language."""
     learn = learn.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("key", "text", "lang")
     rows, seen = document_frequencies(learn)
     if not rows:
         return None
     weights = (np.log((1 + rows) / (1 + seen)) + 1).astype(np.float32)
-    sizes = learn.groupBy("lang").agg(F.count("*").alias("size"))
+    sizes = learn.groupBy("lang").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "lang").limit(languages)
     order = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30))
-    drawn = (learn.join(F.broadcast(sizes), "lang")  # a row per language
-             .withColumn("order", order).filter(F.col("order") * F.col("size") < sample * (1 << 30)))
-    fitted = drawn.select("lang", "order", "text").groupBy("lang").applyInPandas(
+    drawn = (learn.join(F.broadcast(sizes), "lang")  # at most a row per learnt language
+             .withColumn("order", order).filter(F.col("order") < F.lit(float(sample << 30)) / F.col("size")))
+    fitted = drawn.select("lang", "order", "text").distinct().groupBy("lang").applyInPandas(
         _fit(weights, clusters), "lang string, cluster int, centre binary, least binary")
     found = sorted(fitted.collect(), key=lambda r: (r.lang, r.cluster))
     if not found:

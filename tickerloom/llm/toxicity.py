@@ -12,7 +12,8 @@ is the documented bound of the fit and of the labels that are broadcast. Its wei
 
 Defined cases: NULL and empty text score as a text without features; a document with several labels
 counts as toxic if one says so; NULL labels are not learnt from; without both kinds of label every
-score is next to 0 or 1 (one half without any label); repeated rows and other columns change nothing.
+score is next to 0 or 1 (one half without any label); a labelled text that is repeated under its id is learnt
+once; other columns change nothing.
 """
 
 from __future__ import annotations
@@ -121,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 16_000) -> Model:
     share = min(1.0, sample / max(1, size))
     drawn = known.filter(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stage(texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("__id")).select("text", "toxic"), "labelled")
+    rows = stage(texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic").distinct().drop("doc_id"), "labelled")
     counts = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total, bad = sum(counts.values()), counts.get(1, 0)
     if not bad or bad == total:
