@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 from tickerloom.llm import line_runs
@@ -54,6 +55,11 @@ def test_runs_are_compacted_level_by_level(spark):
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     (row,) = runs.frequent(5).collect()
     assert row.top_doc == 4 and not runs.frequent(6).collect()
+    keys = [spark.read.parquet(p).select("h1", "h2") for level in runs.levels for p in level]
+    assert sum(k.count() for k in keys) == 1   # no run repeats a key of another
+    paths = [p for level in runs.levels for p in level] + runs.increments
+    runs.close()
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in paths) and runs.frequent(1) is None
 
 
 def test_columns_pass_and_empty_table(spark):

@@ -1,11 +1,13 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
 ``LineRuns`` keeps runs of ``(h1, h2, n_docs, top_doc)`` under a folder that all executors share: a
-line's 128-bit key hash, in how many documents of the run it occurs and the largest id among them.
-Every batch adds one run at level 0; as soon as a level holds ``fanout`` runs they are merged into
-one of the next level. Runs are sorted by hash. A line is matched against the runs by a sort-merge
-join on the hash: lines that match a frequent key and do not belong to the document that keeps it are
-removed, all others survive the anti-join. Survivors are far more than repeats, so the join brings
+line's 128-bit key hash, in how many documents it occurs and the largest id among them. A new batch is
+merge-anti-joined with the runs: keys that no run holds become the batch's own run at level 0, so runs
+never share a key; for keys that one holds, the batch leaves an increment. As soon as a level holds
+``fanout`` runs they are merged into one of the next level, and increments are summed up alike. Runs
+are sorted by hash. Once all batches are in, runs and increments together say which keys are frequent
+and who keeps their lines, which no batch can know by itself. A sort-merge join on the hash finds the lines that match
+a frequent key and do not belong to that document; survivors are far more than repeats, so the join brings
 back the repeats' positions and the rest of the text stays as it is.
 
 A key is the line with ASCII blanks stripped at both ends and A-Z in lower case. Counting is
@@ -49,49 +51,65 @@ def line_keys(docs: DataFrame, min_chars: int = 40) -> DataFrame:
 
 
 class LineRuns:
-    """The runs of one index, as paths by level. Every run is a Parquet table of its own."""
+    """The runs of one index, as paths by level, and the increments. Each is a Parquet table of its own."""
 
     def __init__(self, spark: SparkSession, fanout: int = 3):
         self.spark, self.fanout = spark, fanout
         self.levels: list[list[str]] = [[]]
+        self.increments: list[str] = []
 
-    def _write(self, rows: DataFrame, level: int) -> None:
-        merged = rows.groupBy(*_HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("top_doc").alias("top_doc"))
-        path = scratch_path(self.spark, f"run-{level}")
-        merged.sortWithinPartitions(*_HASH).write.parquet(path)
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(path)
+    def _write(self, rows: DataFrame, name: str) -> str:
+        path = scratch_path(self.spark, name)
+        rows.select(*_HASH, "n_docs", "top_doc").sortWithinPartitions(*_HASH).write.parquet(path)
+        return path
+
+    def _runs(self) -> list[str]:
+        return [p for level in self.levels for p in level]
+
+    def _sum(self, paths: list[str]) -> DataFrame:
+        rows = self.spark.read.parquet(*paths)
+        return rows.groupBy(*_HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("top_doc").alias("top_doc")) if len(paths) > 1 else rows
 
     def add(self, lines: DataFrame) -> None:
-        """The lines of a batch as a new run. A document's lines come in one batch."""
+        """The lines of a batch: its unseen keys as a run, the others as an increment. A document's lines come in one batch."""
         per_doc = lines.groupBy(*_HASH, "doc_id").agg(F.lit(1).alias("n_docs"))
-        self._write(per_doc.withColumn("top_doc", F.col("doc_id")), 0)
+        batch = per_doc.groupBy(*_HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("doc_id").alias("top_doc"))
+        if not self._runs():
+            self.levels[0].append(self._write(batch, "run-0"))
+            return
+        own = self._write(batch, "batch")
+        counted, known = self.spark.read.parquet(own), self.spark.read.parquet(*self._runs()).select(*_HASH)
+        self.levels[0].append(self._write(counted.hint("merge").join(known, _HASH, "left_anti"), "run-0"))
+        self.increments.append(self._write(counted.hint("merge").join(known, _HASH, "left_semi"), "increment"))
+        delete(self.spark, own)
         self.compact()
 
     def compact(self) -> None:
         for level in range(len(self.levels)):
             if len(self.levels[level]) >= self.fanout:
                 runs, self.levels[level] = self.levels[level], []
-                self._write(self.spark.read.parquet(*runs), level + 1)
-                for path in runs:
-                    delete(self.spark, path)
+                while len(self.levels) <= level + 1:
+                    self.levels.append([])
+                self.levels[level + 1].append(self._write(self._sum(runs), f"run-{level + 1}"))
+                self._delete(runs)
+        if len(self.increments) >= self.fanout:
+            summed, self.increments = self.increments, []
+            self.increments.append(self._write(self._sum(summed), "increment"))
+            self._delete(summed)
+
+    def _delete(self, paths: list[str]) -> None:
+        for path in paths:
+            delete(self.spark, path)
 
     def close(self) -> None:
         """Deletes every run."""
-        for path in (p for level in self.levels for p in level):
-            delete(self.spark, path)
-        self.levels = [[]]
+        self._delete([*self._runs(), *self.increments])
+        self.levels, self.increments = [[]], []
 
     def frequent(self, min_docs: int) -> DataFrame | None:
         """Keys of at least ``min_docs`` documents over all runs, and who keeps their lines."""
-        paths = [p for level in self.levels for p in level]
-        if not paths:
-            return None
-        total = self.spark.read.parquet(*paths)
-        if len(paths) > 1:
-            total = total.groupBy(*_HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("top_doc").alias("top_doc"))
-        return total.filter(F.col("n_docs") >= min_docs).select(*_HASH, "top_doc")
+        paths = [*self._runs(), *self.increments]
+        return self._sum(paths).filter(F.col("n_docs") >= min_docs).select(*_HASH, "top_doc") if paths else None
 
 
 def repeats(lines: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -113,11 +131,13 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40,
     with Staging(docs.sparkSession) as keep:
         lines = keep(line_keys(docs, min_chars), "lines")
         runs = LineRuns(docs.sparkSession, fanout)
-        for batch in range(batches):
-            runs.add(lines.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == batch))
-        lost = stage(repeats(lines, keep(runs.frequent(min_docs), "frequent")), "lost")
-        runs.close()
-    lost = lost.withColumnRenamed("doc_id", "__doc").hint("shuffle_hash")
+        try:
+            for batch in range(batches):
+                runs.add(lines.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == batch))
+            lost = stage(repeats(lines, keep(runs.frequent(min_docs), "frequent")), "lost")
+        finally:
+            runs.close()
+    lost = lost.withColumnRenamed("doc_id", "__doc")
     joined = docs.join(lost, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
     every = lines_of(F.col("text"))
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
