@@ -48,7 +48,24 @@ def test_chat_of_long_and_odd_conversations(spark):
     assert chat.perspectives(frame.limit(0)).count() == 0
     both = spark.createDataFrame([(None, None, "user", "a"), (None, 1, "user", "b")], TURNS)
     got = chat.perspectives(both).orderBy("char_start").collect()
-    assert [(r.part, r.text.count("<|im_start|>")) for r in got] == [(None, 1), (0, 1)] and got[1].char_start == len(got[0].text)
+    assert [(r.part, r.text.count("<|im_start|>"), r.char_start) for r in got] == [(0, 2, 0)]
+
+
+def test_parts_are_cut_by_place_whatever_the_numbers(spark):
+    rows = [(1, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(60, 70)]
+    rows += [(2, 7, "ann", f"same number {n:03}") for n in range(200)] + [(2, 7, "bob", "one")]
+    rows += [(3, None, "ann", f"no number {n:03}") for n in range(70)]
+    frame = spark.createDataFrame(rows, TURNS)
+    got = chat.perspectives(frame).collect()
+    assert sorted((r.conv_id, r.participant, r.part, r.n_turns) for r in got) == [
+        (1, "assistant", 0, 10), (1, "user", 0, 10), *[(2, p, n, m) for p in ("ann", "bob") for n, m in enumerate((64, 64, 64, 9))],
+        (3, "ann", 0, 64), (3, "ann", 1, 6)]
+    whole = {(r.conv_id, r.participant): r for r in chat.perspectives(frame, part_turns=1000).collect()}
+    assert len(whole) == 5
+    for key, one in whole.items():
+        parts = sorted([r for r in got if (r.conv_id, r.participant) == key], key=lambda r: r.part)
+        assert "".join(r.text for r in parts) == one.text and [s for r in parts for s in r.spans] == one.spans
+        assert all(one.text[s.start:s.end].endswith("<|im_end|>") for s in one.spans)
 
 
 def test_spans_cover_the_assistants_words(spark):

@@ -5,9 +5,11 @@ others as users that carry their name; spans mark the assistant's words and end
 model is trained on. ``system`` turns are instructions: they are rendered in every perspective and
 never have one of their own.
 
-A dialogue of up to ``PART`` turn numbers is one row. A longer one is a row per ``PART`` turn numbers,
-each with its place in the whole, so no row and no task grows with a conversation; the parts' places
-come from sums over parts. Spans count code points from the start of the whole dialogue.
+A dialogue of up to ``part_turns`` turns is one row per participant, whatever its turns are numbered.
+A longer one is a row per ``part_turns`` turns in order, each with its place in the whole, so no row and
+no task grows with a conversation: a turn's place in its dialogue is found range by range, a part's
+turns are gathered once and rendered for each participant beside them, and the parts' places come from sums over
+narrow rows. Spans count code points from the start of the whole dialogue.
 
 Defined cases: a turn delivered twice, equal in all four columns, counts once; turns of one number are
 ordered by role and text, NULL first; a NULL turn number comes first; NULL text is empty; a NULL or empty
@@ -23,7 +25,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-PART = 64
+from ..session import Staging, stage
+from .mixing import placed
+
+PART = 64  # turns in a row
 SYSTEM = "system"
 
 
@@ -46,45 +51,49 @@ def participants_of(conversations: DataFrame) -> DataFrame:
             .select("__conv", "who", F.coalesce("alike", F.lit(False)).alias("alike")))
 
 
-def turns_of(conversations: DataFrame) -> DataFrame:
-    """Distinct turns with the role that speaks, safe text and part."""
+def turns_of(conversations: DataFrame, part_turns: int, keep: Staging) -> DataFrame:
+    """``conv_id, part, turns``: up to ``part_turns`` distinct turns in order, each with its speaker and safe text."""
     distinct = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").distinct()
-    return distinct.select(
-        "conv_id", "turn", "role", "text", F.coalesce("role", F.lit("")).alias("speaker"),
-        F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")).alias("said"),
-        F.coalesce(F.floor(F.col("turn") / PART), F.lit(-(1 << 60))).cast("long").alias("part"))
+    order = [F.col(c).asc_nulls_first() for c in ("turn", "role", "text")]
+    turn = F.struct(F.col("place"), F.coalesce("role", F.lit("")).alias("speaker"),
+                    F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")).alias("said"))
+    numbered = placed(distinct, ["conv_id"], order, keep, "turns").withColumn("part", F.floor(F.col("place") / part_turns))
+    return numbered.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
 
-def perspectives(conversations: DataFrame) -> DataFrame:
+def perspectives(conversations: DataFrame, part_turns: int = PART) -> DataFrame:
     """``conv_id, participant, part, n_turns, char_start, text, spans`` for every participant."""
-    turns = turns_of(conversations)
-    rotated = turns.join(participants_of(conversations), F.col("conv_id").eqNullSafe(F.col("__conv"))).withColumn(
-        "participant", _name(F.col("who"), F.col("alike")))
-    own = F.col("speaker") == F.col("who")
-    header = (F.when(F.col("speaker") == SYSTEM, F.lit("<|im_start|>system\n"))
-              .when(own, F.lit("<|im_start|>assistant\n"))
-              .otherwise(F.concat(F.lit("<|im_start|>user name="), _name(F.col("speaker"), F.col("alike")), F.lit("\n"))))
-    segments = rotated.select(
-        "conv_id", "participant", "part", "turn", "role", F.col("text").alias("raw"), own.alias("own"),
-        F.char_length(header).alias("skip"), F.concat(header, "said", F.lit("<|im_end|>\n")).alias("segment"),
-    ).withColumn("size", F.char_length("segment").cast("long"))
-    key = ["conv_id", "participant", "part"]
-    before = Window.partitionBy(*key).orderBy("turn", "role", "raw").rowsBetween(Window.unboundedPreceding, -1)
-    placed = segments.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    parts = placed.groupBy(*key).agg(
-        F.count("*").alias("n_turns"), F.sum("size").alias("size"),
-        F.sort_array(F.collect_list(F.struct("at", "segment", "own", "skip", "size"))).alias("rows"))
-    earlier = Window.partitionBy("conv_id", "participant").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # Places are summed over narrow rows; the rendered rows meet them by their own key.
-    starts = (parts.select(*key, "size").withColumn("char_start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
-              .select(*[F.col(c).alias(f"__{c}") for c in key], "char_start"))
-    located = parts.join(starts, F.col("conv_id").eqNullSafe(F.col("__conv_id"))
-                         & (F.col("participant") == F.col("__participant")) & (F.col("part") == F.col("__part")))
-    begin = lambda r: F.col("char_start") + r["at"] + r["skip"]
-    spans = F.transform(F.filter("rows", lambda r: r["own"]),
-                        lambda r: F.struct(begin(r).alias("start"), (F.col("char_start") + r["at"] + r["size"] - 1).alias("end")))
-    return located.select("conv_id", "participant", F.when(F.col("part") > -(1 << 60), F.col("part")).alias("part"), "n_turns", "char_start",
-                          F.array_join(F.transform("rows", lambda r: r["segment"]), "").alias("text"), spans.alias("spans"))
+    with Staging(conversations.sparkSession) as keep:
+        people = participants_of(conversations)
+        parts = turns_of(conversations, part_turns, keep)
+        rotated = parts.join(people, F.col("conv_id").eqNullSafe(F.col("__conv"))).withColumn("participant", _name(F.col("who"), F.col("alike")))
+
+        def header(t: Column) -> Column:
+            return (F.when(t["speaker"] == SYSTEM, F.lit("<|im_start|>system\n"))
+                    .when(t["speaker"] == F.col("who"), F.lit("<|im_start|>assistant\n"))
+                    .otherwise(F.concat(F.lit("<|im_start|>user name="), _name(t["speaker"], F.col("alike")), F.lit("\n"))))
+
+        segments = F.transform("turns", lambda t: F.struct(
+            F.concat(header(t), t["said"], F.lit("<|im_end|>\n")).alias("segment"),
+            (t["speaker"] == F.col("who")).alias("own"), F.char_length(header(t)).alias("skip")))
+        rendered = rotated.select("conv_id", "participant", "part", segments.alias("rows")).select(
+            "*", F.transform("rows", lambda r: F.char_length(r["segment"]).cast("long")).alias("sizes"))
+        rendered = keep(rendered.withColumn("size", F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)), "rendered")
+        earlier = Window.partitionBy("conv_id", "participant").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        # Places are summed over narrow rows; only dialogues of several parts have any but 0.
+        starts = (rendered.select("conv_id", "participant", "part", "size")
+                  .withColumn("char_start", F.coalesce(F.sum("size").over(earlier), F.lit(0))).filter("part > 0")
+                  .select(*[F.col(c).alias(f"__{c}") for c in ("conv_id", "participant", "part")], "char_start"))
+        located = rendered.join(starts, F.col("conv_id").eqNullSafe(F.col("__conv_id"))
+                                & (F.col("participant") == F.col("__participant")) & (F.col("part") == F.col("__part")), "left")
+        located = located.withColumn("char_start", F.coalesce("char_start", F.lit(0).cast("long")))
+        ends = F.transform("sizes", lambda x, i: F.col("char_start") + F.aggregate(F.slice("sizes", 1, i + 1), F.lit(0).cast("long"), lambda a, y: a + y))
+        spans = F.transform(F.filter(F.arrays_zip("rows", "ends", "sizes"), lambda r: r["rows"]["own"]),
+                            lambda r: F.struct((r["ends"] - r["sizes"] + r["rows"]["skip"]).alias("start"), (r["ends"] - 1).alias("end")))
+        result = located.withColumn("ends", ends).select(
+            "conv_id", "participant", "part", F.size("rows").cast("long").alias("n_turns"), "char_start",
+            F.array_join(F.transform("rows", lambda r: r["segment"]), "").alias("text"), spans.alias("spans"))
+        return stage(result, "perspectives")
 
 
 def chat_digest(conversations: DataFrame) -> DataFrame:
@@ -98,7 +107,8 @@ WITH turns AS (
     SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 named AS (
     SELECT *, regexp_replace(CASE WHEN role IS NULL OR role = '' THEN 'unknown' ELSE role END, '[^A-Za-z0-9_-]', '_', 'g') AS speaker,
-           replace(coalesce(text, ''), '<|', '< |') AS said, floor(turn / {PART}.0)::BIGINT AS part
+           replace(coalesce(text, ''), '<|', '< |') AS said,
+           (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1) // {PART} AS part
     FROM turns),
 speakers AS (SELECT DISTINCT conv_id, speaker AS participant FROM named WHERE speaker <> '{SYSTEM}'),
 segments AS (
