@@ -126,6 +126,17 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observation_grid(spark, sf_dir).filter(F.col("value").isNotNull())
 
 
+def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations with a day of publication, 10 to 16 days later; of every third month's a revision
+    follows 40 days after the observation."""
+    first = observations(spark, sf_dir)
+    wait = F.when(F.col("series_id") == "DGS10", F.lit(1)).otherwise(10 + F.dayofyear("date") % 7)
+    told = first.withColumn("published", F.date_add("date", wait.cast("int")))
+    revised = first.filter(F.month("date") % 3 == 0).withColumns({
+        "value": F.col("value") + 0.5, "published": F.date_add("date", 40)})
+    return told.unionByName(revised)
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line as a price row of its own: repeated keys, lows above highs, returns."""
     part = _table(spark, sf_dir, "part").select(

@@ -58,10 +58,43 @@ def macro_calendar(observations: DataFrame, series: dict[str, str], end: Column
     return widen(days, series)
 
 
-def join_asof(prices: DataFrame, observations: DataFrame, series: dict[str, str]) -> DataFrame:
-    """Add the last value of each series observed on or before the row's date, NULL before that."""
-    calendar = macro_calendar(observations, series)
-    end = known_observations(observations, series).agg(F.max("date")).scalar()
+def _published(observations: DataFrame, series: dict[str, str]) -> DataFrame:
+    told = _selected(observations, series).filter(F.col("published").isNotNull())
+    return told.withColumn("known_on", F.greatest("published", "date"))
+
+
+def published_calendar(observations: DataFrame, series: dict[str, str]) -> DataFrame:
+    """Every day from the first publication to the last with the value that was known on that day.
+
+    ``observations`` have ``published`` besides: a value counts from the day it was published, or from its own
+    day if that is later. Of what is known on a day the newest observation counts, in the version
+    published last, ties to the larger value; a late revision of an older observation changes nothing. The
+    newest is a running maximum over a series' publications, at most one row per day.
+    """
+    told = _published(observations, series)
+    daily = told.groupBy("series_id", "known_on").agg(F.max(F.struct("date", "published", "value")).alias("newest"))
+    order = Window.partitionBy("series_id").orderBy("known_on")
+    known = daily.select(
+        "series_id", "known_on", F.lead("known_on").over(order).alias("following"),
+        F.max("newest").over(order.rowsBetween(Window.unboundedPreceding, 0))["value"].alias("value"))
+    until = F.coalesce(F.date_sub("following", 1), told.agg(F.max("known_on")).scalar())
+    return widen(known.select("series_id", F.explode(F.sequence("known_on", until)).alias("date"), "value"), series)
+
+
+def join_asof(
+    prices: DataFrame, observations: DataFrame, series: dict[str, str], point_in_time: bool = False
+) -> DataFrame:
+    """Add the last value of each series observed on or before the row's date, NULL before that.
+
+    With ``point_in_time``, the value that was published by the row's date: no row sees an observation, or
+    its revision, before the world did.
+    """
+    if point_in_time:
+        calendar = published_calendar(observations, series)
+        end = _published(observations, series).agg(F.max("known_on")).scalar()
+    else:
+        calendar = macro_calendar(observations, series)
+        end = known_observations(observations, series).agg(F.max("date")).scalar()
     day = F.when(F.col("date") > end, end).otherwise(F.col("date"))
     placed = prices.select("*", day.alias("_day"))
     joined = placed.join(F.broadcast(calendar), placed["_day"] == calendar["date"], "left")

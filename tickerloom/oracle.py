@@ -286,3 +286,13 @@ ORACLE |= {f"view_{name}": ORACLE[query] for name, query in {
     "gold_sector_comparison": "sector_comparison", "gold_leaderboard": "leaderboard",
 }.items()}
 ORACLE["gold_incremental"] = ORACLE["gold_stream"] = ORACLE["daily_features"]
+ORACLE["macro_point_in_time"] = f"""WITH {_BARS}, {_OBS}, told AS (
+  SELECT series_id, date, value,
+         date + CASE WHEN series_id = 'DGS10' THEN 1 ELSE (10 + dayofyear(date) % 7)::INT END AS published FROM obs
+  UNION ALL SELECT series_id, date, value + 0.5, date + 40 FROM obs WHERE month(date) % 3 = 0
+), known AS (
+  SELECT d.date, t.series_id, t.value FROM (SELECT DISTINCT date FROM bars) d JOIN told t ON greatest(t.published, t.date) <= d.date
+  QUALIFY row_number() OVER (PARTITION BY d.date, t.series_id ORDER BY t.date DESC, t.published DESC, t.value DESC) = 1
+) SELECT d.date, max(value) FILTER (WHERE series_id = 'CPIAUCSL') AS cpi,
+         max(value) FILTER (WHERE series_id = 'FEDFUNDS') AS "fedFundsRate", max(value) FILTER (WHERE series_id = 'DGS10') AS treasury10y
+  FROM (SELECT DISTINCT date FROM bars) d LEFT JOIN known k ON k.date = d.date GROUP BY d.date"""

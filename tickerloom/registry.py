@@ -103,6 +103,13 @@ def macro_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof.join_asof(days, macro_table(spark, sf_dir), SERIES)
 
 
+def macro_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The macro values that were published by every trading day, revisions included once they were out."""
+    days = bindings.bars(spark, sf_dir).select("date").distinct()
+    told = _store(spark, sf_dir, "vintages", bindings.vintages).rows()
+    return asof.join_asof(days, told, SERIES, point_in_time=True)
+
+
 def daily_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day of every symbol ranked by return, with the rank cut into slices."""
     rows = gold_table(spark, sf_dir).rows().select("symbol", "date", "return_21d")
@@ -283,6 +290,7 @@ QUERIES: dict[str, Query] = {
         bindings.observations(spark, sf_dir), SERIES
     ),
     "macro_asof": macro_asof,
+    "macro_point_in_time": macro_point_in_time,
     "silver_price_with_macro": silver,
     "returns": _feature_group(*schemas.RETURNS),
     "moving_averages": _feature_group(*schemas.TREND),
