@@ -138,3 +138,25 @@ def test_pipeline_follows_its_stages(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept["decontamination"].keys()
     lengths = packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all")).filter("n <> all")
     assert lengths.isEmpty()
+
+
+def test_pipeline_of_rows_without_ids_and_of_an_empty_table(spark, tmp_path):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").limit(120)
+    rows = docs.collect()
+    item = spark.read.parquet(f"{TESTDATA}/benchmark.parquet").first().text
+    odd = [{**rows[i].asDict(), "doc_id": i if i % 2 else None} for i in range(10) for _ in range(2)]
+    odd += [{**rows[0].asDict(), "doc_id": None, "text": f"something first. {item} and more after it"}]
+    fresh = {"prices": "the unheard words of a nameless row about rivers, stones and weather in the long winter of that year"}
+    odd += [{**rows[0].asDict(), "doc_id": None, "text": fresh["prices"]}] * 3
+    for name, table in (("odd", spark.createDataFrame([r.asDict() for r in rows] + odd, docs.schema)), ("none", docs.limit(0))):
+        folder = tmp_path / name
+        table.write.parquet(str(folder / "documents.parquet"))
+        spark.read.parquet(f"{TESTDATA}/benchmark.parquet").write.parquet(str(folder / "benchmark.parquet"))
+        before = spark.read.parquet(str(folder / "documents.parquet"))
+        for stage_name, function in corpus_pipeline.STAGES[:-1]:
+            before = function(spark, before, str(folder))
+            assert before.columns == docs.columns
+        texts = [r.text for r in before.collect()]
+        assert not any(item in (t or "") for t in texts) and texts.count(fresh["prices"]) == (name == "odd")
+        assert len(set(texts)) == len(texts)
+        assert (corpus_pipeline.run(spark, str(folder)).count() > 0) == (name == "odd")
