@@ -34,6 +34,7 @@ _PAIR_SUMS = (
     "symbol_a string, symbol_b string, n double, mean_a double, mean_b double, "
     "var_a double, var_b double, cov double, flat_a double, flat_b double"
 )
+SPAN_SUMS = f"{_PAIR_SUMS}, span long"
 
 
 def _matrix(rows: pd.DataFrame, days: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -99,6 +100,10 @@ def _pair_sums(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+def _span_sums(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    return _pair_sums(key, rows).assign(span=key[2])
+
+
 def pairwise_correlation(
     df: DataFrame,
     value: str,
@@ -106,7 +111,18 @@ def pairwise_correlation(
     days: int = DAYS,
     symbols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``symbol_a < symbol_b, correlation`` for every pair with a common date.
+    """``symbol_a < symbol_b, correlation`` for every pair with a common date, from its sums by span."""
+    return correlation_of(span_sums(df, value, blocks, days, symbols))
+
+
+def span_sums(
+    df: DataFrame,
+    value: str,
+    blocks: int | None = None,
+    days: int = DAYS,
+    symbols: Sequence[str] | None = None,
+) -> DataFrame:
+    """``span`` and what every pair's rows of that span come to; spans are of ``days`` days since 1970.
 
     ``df`` has one row per (symbol, date); rows without a value take no part. ``blocks`` defaults
     to one per ``BLOCK`` symbols: of ``symbols`` if they are named, else counted with one narrow
@@ -131,7 +147,11 @@ def pairwise_correlation(
         .withColumn("span", F.floor(F.col("day") / days))
         .drop("other")
     )
-    sums = placed.groupBy("left_block", "right_block", "span").applyInPandas(_pair_sums, _PAIR_SUMS)
+    return placed.groupBy("left_block", "right_block", "span").applyInPandas(_span_sums, SPAN_SUMS)
+
+
+def correlation_of(sums: DataFrame) -> DataFrame:
+    """``symbol_a < symbol_b, correlation`` from sums by span, of which each pair has one a span."""
     # One element per span: as many as the calendar has.
     spans = sums.groupBy("symbol_a", "symbol_b").agg(F.collect_list(F.struct(
         "n", "mean_a", "mean_b", "var_a", "var_b", "cov", "flat_a", "flat_b"

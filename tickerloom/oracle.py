@@ -296,3 +296,4 @@ ORACLE["macro_point_in_time"] = f"""WITH {_BARS}, {_OBS}, told AS (
 ) SELECT d.date, max(value) FILTER (WHERE series_id = 'CPIAUCSL') AS cpi,
          max(value) FILTER (WHERE series_id = 'FEDFUNDS') AS "fedFundsRate", max(value) FILTER (WHERE series_id = 'DGS10') AS treasury10y
   FROM (SELECT DISTINCT date FROM bars) d LEFT JOIN known k ON k.date = d.date GROUP BY d.date"""
+ORACLE["correlation_kept"] = ORACLE["correlation_matrix"]

@@ -25,7 +25,7 @@ from . import gold, quality
 from .silver import price_with_macro
 
 GOLD = "gold"   # the gold job's name among the followers of a ledger
-_KEYS = T.StructType([f for f in schemas.PRICES.fields if f.name in schemas.KEY])
+KEYS = T.StructType([f for f in schemas.PRICES.fields if f.name in schemas.KEY])
 
 
 def run_silver(
@@ -189,7 +189,7 @@ def run_gold(
     """
     silver = Table(spark, silver_path, schemas.silver(universe.macro_columns), layout)
     book = Ledger(spark, ledger_path) if ledger_path else None
-    pending = book.pending(GOLD, _KEYS) if book else None
+    pending = book.pending(GOLD, KEYS) if book else None
     if pending and table_exists(spark, features_path) and table_exists(spark, summary_path):
         changed = pending.changes
         if changed is None:

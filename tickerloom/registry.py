@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from . import bindings, schemas
 from .operators import asof
 from .operators.rank import Ranking, sliced_rank
-from .plans import analytics, charts, gold, pipeline, quality, views
+from .plans import analytics, charts, comoments, gold, pipeline, quality, views
 from .plans.silver import price_with_macro
 from .session import scratch_path
 from .settings import DEFAULT_SERIES as SERIES, Universe
@@ -253,6 +253,21 @@ def gold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(written, *schemas.VOLATILITY)
 
 
+def correlation_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The correlation matrix from stored sums: of a history up to a month ago, then of its last month."""
+    features = gold_table(spark, sf_dir)
+    newest = features.rows().agg(F.max("date")).first()[0]
+    root = scratch_path(spark, "correlation-kept")
+    growing = features._replace(path=f"{root}/features")
+    tables.upsert(features.rows().filter(F.col("date") <= F.add_months(F.lit(newest), -1)), growing.path, LAYOUT)
+    comoments.refresh(growing, f"{root}/sums")
+    last = features.rows().filter(F.col("date") > F.add_months(F.lit(newest), -1))
+    tables.upsert(last, growing.path, LAYOUT)
+    comoments.refresh(growing, f"{root}/sums", last.agg(F.min("date")).first()[0])
+    kept = comoments.correlation(spark, f"{root}/sums")
+    return rounded(kept.select(F.col("symbol_b").alias("row_symbol"), F.col("symbol_a").alias("column_symbol"), "correlation"), "correlation")
+
+
 def bronze_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected documents of both kinds, by reason."""
     path = scratch_path(spark, "landed-macro")
@@ -333,6 +348,7 @@ QUERIES: dict[str, Query] = {
         gold_table(spark, sf_dir), bindings.symbols(spark, sf_dir)
     ),
     "correlation_matrix": _on_gold(charts.correlation_matrix, "correlation"),
+    "correlation_kept": correlation_kept,
     "correlation_range": _on_gold(
         charts.correlation_range, "min_correlation", "max_correlation"
     ),

@@ -115,14 +115,15 @@ class Ledger:
         fs, pattern = hadoop(self.spark, f"{self.path}/_marks/{follower}/*")
         return max((int(f.getPath().getName()) for f in (fs.globStatus(pattern) or [])), default=0)
 
-    def pending(self, follower: str, schema: T.StructType) -> Pending:
+    def pending(self, follower: str, schema: T.StructType, upto: int | None = None) -> Pending:
+        """``upto``: the mark of another follower that has to go first."""
         mark = self.mark_of(follower)
-        prepared = [n for n in self._numbers(PREPARED) if n > mark]
+        prepared = [n for n in self._numbers(PREPARED) if n > mark and (upto is None or n <= upto)]
         # Markers are read after the entries: one that is settled meanwhile is merely given again.
         settled = {*self._numbers(COMMITTED), *self._numbers(ABANDONED)} & set(prepared)
         open_ = [n for n in prepared if n not in settled]
-        upto = max((n for n in prepared if not open_ or n < open_[0]), default=mark)
-        return Pending(self._read("changes", prepared, schema), upto)
+        settled_to = max((n for n in prepared if not open_ or n < open_[0]), default=mark)
+        return Pending(self._read("changes", prepared, schema), settled_to)
 
     def move(self, follower: str, mark: int) -> None:
         """The follower has dealt with everything up to ``mark``; a mark never goes back."""
