@@ -76,6 +76,17 @@ def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).rows()
 
 
+_names: dict[tuple[str, str], list[str]] = {}
+
+
+def symbol_names(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The symbols of the stored tables, asked for once per application and data directory."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _names:
+        _names[key] = bindings.symbols(spark, sf_dir)
+    return _names[key]
+
+
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     """Six decimals for statistics whose last bits depend on the order of addition."""
     return df.withColumns({name: F.round(name, 6) for name in columns})
@@ -345,7 +356,7 @@ QUERIES: dict[str, Query] = {
         lambda g: analytics.tail_risk(g, ROLES.market), "avg_return_on_bad_market_days"
     ),
     "returns_wide": lambda spark, sf_dir: charts.returns_wide(
-        gold_table(spark, sf_dir), bindings.symbols(spark, sf_dir)
+        gold_table(spark, sf_dir), symbol_names(spark, sf_dir)
     ),
     "correlation_matrix": _on_gold(charts.correlation_matrix, "correlation"),
     "correlation_kept": correlation_kept,
