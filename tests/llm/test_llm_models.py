@@ -1,5 +1,9 @@
 """Language identification and toxicity: cases, and held-out accuracy on the test tables."""
 
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +130,71 @@ def test_toxicity_held_out_ranking(spark):
     got = toxicity.judge(docs, labels).join(labels, "doc_id").toPandas()
     held = got[got.held_out]
     assert auc(held.score.to_numpy(), held.toxic.to_numpy() == 1) >= 0.97
+
+
+def test_languages_by_dictionary(spark, prose):
+    """Weights, centroids and cosines from plain dictionaries over all learning rows, one centroid a language."""
+    learn = prose.select(F.col("doc_id").alias("key"), "text", "lang")
+    learn = learn.union(learn.limit(3))   # repeated rows: counted in the frequencies, drawn once
+    model = language.fit(learn, clusters=1, sample=10_000)
+    rows = learn.collect()
+    bags = [Counter(language.features(language.letters_of(r.text)).tolist()) for r in rows]
+    seen = Counter(f for bag in bags for f in bag)
+    weight = lambda f: math.log((1 + len(rows)) / (1 + seen[f])) + 1
+
+    def vector(bag):
+        raw = {f: math.log1p(n) * weight(f) for f, n in bag.items()}
+        norm = math.sqrt(sum(v * v for v in raw.values()))
+        return {f: v / norm for f, v in raw.items()}
+
+    centres = {}
+    for lang in ("de", "en"):
+        own = [vector(b) for b in {r.key: b for r, b in zip(rows, bags) if r.lang == lang}.values()]
+        total = Counter()
+        for v in own:
+            total.update(v)
+        norm = math.sqrt(sum(v * v for v in total.values()))
+        centres[lang] = {f: v / norm for f, v in total.items()}
+    assert model.languages == ["de", "en"]
+    asked = [(1, "the river and a barn"), (2, "der Fluss und das Brot"), (3, "house haus morning morgen"), (4, "xyz"), (5, "The HILL, the hill!")]
+    docs = spark.createDataFrame(asked, "doc_id long, text string")
+    for r in language.predict(docs, model, F.col("doc_id"), "long").collect():
+        own = vector(Counter(language.features(language.letters_of(dict(asked)[r.row])).tolist()))
+        near = {lang: sum(v * centre.get(f, 0) for f, v in own.items()) for lang, centre in centres.items()}
+        assert r.lang_pred == max(near, key=near.get) and abs(r.score - max(near.values())) < 1e-5
+
+
+def test_a_bound_on_languages_keeps_the_most_frequent(spark, prose):
+    learn = prose.select(F.col("doc_id").alias("key"), "text", "lang").union(
+        spark.createDataFrame([(100 + i, f"odd label {i}", f"x{i}") for i in range(20)], "key long, text string, lang string"))
+    assert set(language.fit(learn, languages=2).languages) == {"de", "en"}
+
+
+def test_toxicity_by_a_dense_fit(spark):
+    """Log-count ratios from dictionaries, and the penalised logistic fit by Newton's method on a dense matrix."""
+    rng = random.Random(6)
+    words = [f"word{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choices(words, k=12) + (["vile", "scum"][: 1 + i % 2] if i % 4 == 0 else [])), int(i % 4 == 0 or i == 7)) for i in range(80)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [rows[0][:2]] * 2, "doc_id long, text string")   # repeated, learnt once
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    present = [set(toxicity.grams(t).tolist()) for _, t, _ in rows]
+    truth = np.array([y for *_, y in rows], float)
+    bad, good = int(truth.sum()), int((1 - truth).sum())
+    ratios = {}
+    for f in set().union(*present):
+        toxic, other = (sum(f in p for p, y in zip(present, truth) if y == k) for k in (1, 0))
+        ratio = math.log((toxic + 0.5) / (bad + 1)) - math.log((other + 0.5) / (good + 1))
+        if toxic + other >= 4 and abs(ratio) >= max(1.0, 3.0 * math.sqrt(1 / (toxic + 0.5) + 1 / (other + 0.5))):
+            ratios[f] = ratio
+    columns = sorted(ratios)
+    assert columns and set(np.flatnonzero(model.weights)) <= set(columns)
+    x = np.array([[ratios[f] if f in p else 0.0 for f in columns] + [1.0] for p in present])
+    penalty = np.diag([1.0] * len(columns) + [0.0])
+    w = np.zeros(len(columns) + 1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - truth) + penalty @ w)
+    expected = dict(zip((r[0] for r in rows), 1 / (1 + np.exp(-x @ w))))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert max(abs(got[d] - expected[d]) for d in expected) < 0.01
