@@ -19,7 +19,8 @@ its own, and an item of which seven eighths are found is found. Items shorter th
 long as they are.
 
 Items are indexed in shards of at most ``shard_items`` items and ``shard_words`` words, so what is
-broadcast is bounded however large the benchmark is; each shard is matched against all documents in one narrow pass,
+broadcast is bounded however large the benchmark is. Document frequencies, the mean length and the longest item
+are those of all items, so results do not depend on how these are cut into shards. Each shard is matched against all documents in one narrow pass,
 without a shuffle. Defined cases: NULL or empty texts and items match nothing; equal items match each;
 repeated rows are reported, and dropped, each; rows without ``doc_id`` are reported with NULL and dropped
 like others; other columns take no part; an empty table on either side gives no rows.
@@ -33,6 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .text import alphanumeric, flat, map_arrow, mix, slices, words
@@ -53,6 +55,16 @@ class Item(NamedTuple):
     cuts: tuple[int, ...]  # how many of the words are the question, one number for each reading
 
 
+class Corpus(NamedTuple):
+    """What BM25 knows of all items, so that a score does not depend on the shard an item is in."""
+
+    size: int              # items with words
+    mean: float            # words of an item
+    longest: int
+    terms: np.ndarray      # sorted word hashes
+    df: np.ndarray         # items that have each
+
+
 class Index(NamedTuple):
     items: list[Item]
     terms: np.ndarray      # sorted word hashes
@@ -79,29 +91,36 @@ def parse_item(item_id: int, text: str | None) -> Item:
     return Item(item_id, own, (question, quarter) if 0 < question < len(own) and question != quarter else (quarter,))
 
 
-def build_index(items: list[Item]) -> Index:
+def corpus_of(items: list[Item]) -> Corpus:
+    sizes = [len(i.words) for i in items if len(i.words)]
+    terms, df = np.unique(np.concatenate([np.unique(i.words) for i in items] or [np.empty(0, np.uint64)]), return_counts=True)
+    return Corpus(len(sizes), sum(sizes) / max(1, len(sizes)), max(sizes, default=0), terms, df)
+
+
+def build_index(items: list[Item], corpus: Corpus | None = None) -> Index:
     items = [i for i in items if len(i.words)]
+    corpus = corpus or corpus_of(items)
     lengths = np.array([len(i.words) for i in items], np.float64)
     all_words = np.concatenate([i.words for i in items]) if items else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(len(items)), lengths.astype(np.int64))
     terms, number = np.unique(all_words, return_inverse=True)
     pairs, tf = np.unique(number.astype(np.int64) * max(1, len(items)) + owner, return_counts=True)
     term, item = pairs // max(1, len(items)), pairs % max(1, len(items))
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log(1 + (len(items) - df + 0.5) / (df + 0.5))
-    damp = K1 * (1 - B + B * lengths / max(lengths.mean(), 1)) if items else lengths
+    df = corpus.df[np.searchsorted(corpus.terms, terms)]
+    idf = np.log(1 + (corpus.size - df + 0.5) / (df + 0.5))
+    damp = K1 * (1 - B + B * lengths / max(corpus.mean, 1))
     weight = idf[term] * tf * (K1 + 1) / (tf + damp[item])
     own = np.bincount(item, weights=weight, minlength=len(items))
     impacts = weight / own[item]
     block = max(BLOCK, -(-len(items) // MOST_BLOCKS))
     tops = np.zeros((-(-len(items) // block), len(terms) + 1))  # the last column: words of no item
     np.maximum.at(tops, (item // block, term), impacts)
-    rare = np.append(df <= max(2, RARE * len(items)), False)
+    rare = np.append(df <= max(2, RARE * corpus.size), False)
     common = np.zeros(len(tops))
     shares = np.bincount(item, weights=np.where(rare[term], 0, impacts), minlength=len(items))
     np.maximum.at(common, np.arange(len(items)) // block, shares)
-    begins = np.concatenate([[0], np.cumsum(df)])
-    return Index(items, terms, begins, item, impacts, block, tops, common, rare, int(lengths.max()) if items else 0)
+    begins = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))])
+    return Index(items, terms, begins, item, impacts, block, tops, common, rare, corpus.longest)
 
 
 def wand(index: Index, terms: np.ndarray, blocks: np.ndarray, least: float) -> list[tuple[int, float]]:
@@ -230,19 +249,46 @@ def _search(shared, least: float, question: float, answer: float):
     return run
 
 
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per item and term of it, and one without term that has the item's length."""
+    for batch in slices(batches, "text"):
+        items = [parse_item(0, text).words for text in batch.column("text").to_pylist()]
+        items = [words for words in items if len(words)]
+        distinct = [np.unique(words) for words in items]
+        terms = np.concatenate(distinct or [np.empty(0, np.uint64)]).view(np.int64)
+        sizes = pa.array([len(words) for words in items], pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(terms), pa.nulls(len(terms), pa.int64())], names=["term", "words"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(sizes), pa.int64()), sizes], names=["term", "words"])
+
+
+def corpus_in(benchmark: DataFrame) -> Corpus:
+    """Counted in Spark; the driver gets a number per term of the benchmark."""
+    counted = map_arrow(benchmark.select("text"), _item_terms, "term long, words long")
+    rows = counted.groupBy("term").agg(F.count("*").alias("n"), F.sum("words").alias("words"), F.max("words").alias("longest")).toArrow()
+    known = rows.column("term").is_valid()
+    whole, terms = rows.filter(pc.invert(known)).to_pylist(), rows.filter(known)
+    if not whole:
+        return corpus_of([])
+    hashes = terms.column("term").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    size = whole[0]["n"]
+    return Corpus(size, whole[0]["words"] / size, whole[0]["longest"], hashes[order], terms.column("n").to_numpy()[order])
+
+
 def shards(benchmark: DataFrame, shard_items: int, shard_words: int) -> Iterator[Index]:
     """The items, in order of their ids, as indexes of bounded size; one at a time is in memory."""
-    plain = benchmark.select(F.col("item_id").cast("long"), "text").filter("length(text) > 0").orderBy("item_id", "text")
+    plain = benchmark.select(F.col("item_id").cast("long"), "text").filter("length(text) > 0")
+    corpus = corpus_in(plain)
     held, size = [], 0
-    for row in plain.toLocalIterator():
+    for row in plain.orderBy("item_id", "text").toLocalIterator():
         item = parse_item(row.item_id, row.text)
         if held and (len(held) >= shard_items or size + len(item.words) > shard_words):
-            yield build_index(held)
+            yield build_index(held, corpus)
             held, size = [], 0
         held.append(item)
         size += len(item.words)
     if held:
-        yield build_index(held)
+        yield build_index(held, corpus)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.5, question: float = 0.75,
