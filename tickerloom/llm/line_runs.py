@@ -137,7 +137,8 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40,
             lost = stage(repeats(lines, keep(runs.frequent(min_docs), "frequent")), "lost")
         finally:
             runs.close()
-    lost = lost.withColumnRenamed("doc_id", "__doc")
+    # Sorted on both sides, so neither has to fit a task's memory, however many documents lose lines.
+    lost = lost.withColumnRenamed("doc_id", "__doc").hint("merge")
     joined = docs.join(lost, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
     every = lines_of(F.col("text"))
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
